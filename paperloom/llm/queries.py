@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import piece_codec, quality_lm, secret_scan, simhash_dedup, toxicity_fm
+from paperloom.llm import piece_codec, quality_lm, secret_scan, simhash_dedup, source_mix, toxicity_fm
 from paperloom.llm.shared import table
 
 
@@ -40,7 +40,11 @@ def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(table(spark, sf_dir, "documents"), piece_model_path())
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op2_simhash_dedup, op5_toxicity_fm, op6_secret_scan, op7_piece_codec)
+    f.__name__: f for f in (op1_quality_classifier, op2_simhash_dedup, op5_toxicity_fm, op6_secret_scan, op7_piece_codec, op8_source_mix)
 }
 ORACLE_SQL: dict[str, str] = {}
