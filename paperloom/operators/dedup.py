@@ -37,7 +37,7 @@ def candidate_items(identities: DataFrame, kind: str = "text", min_candidates: i
 def _path(row: str = "") -> Column:
     """The section path inside a position key."""
     key, paper = F.col(f"{row}source_position_key"), F.col(f"{row}paper_id")
-    body = F.substring_index(key, "#", F.size(F.split(key, "#")) - 1)
+    body = F.regexp_replace(key, "#[^#]*$", "")
     return F.when(F.startswith(body, F.concat(paper, F.lit("#"))), F.substr(body, F.length(paper) + 2)).otherwise("")
 
 

@@ -10,6 +10,7 @@ def session(cores: int | str = "*", shuffle: int | None = None, **conf: str) ->
     builder = SparkSession.builder.master(f"local[{cores}]").appName("paperloom")
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle or 8),
