@@ -110,7 +110,10 @@ class PieceCodec:
         return bytes(out), np.array([*source, end], np.int64)
 
     def _run(self, run: str) -> tuple[list[int], bytes]:
-        ids = self.library.encode(run[1:]) if run[0] == " " else self.library.encode(run)[1:]
+        if run == " ":  # the library adds no space to an empty text
+            ids = self.library.encode("\n")[:1]
+        else:
+            ids = self.library.encode(run[1:]) if run[0] == " " else self.library.encode(run)[1:]
         return ids, self._joined(ids)
 
     def _joined(self, ids: list[int]) -> bytes:
