@@ -345,13 +345,15 @@ def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT d.doc_id, count(*) AS benchmarks FROM documents d JOIN benchmark b ON contains(d.text, left(b.text, 80)) WHERE length(b.text) >= 80 GROUP BY 1
+    SELECT d.doc_id, b.item_id, length(trim(b.text)) >= 80 AND contains(d.text, left(trim(b.text), 80)) AS copied
+    FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % (SELECT count(*) FROM benchmark)
 """)
 def copied_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P10: texts that hold the first 80 characters of another; found by equal runs of characters after an equal start."""
-    b = _t(spark, sf_dir, "benchmark").where(F.length("text") >= 80).select("item_id", F.substring("text", 1, 80).alias("head"), F.substring("text", 1, 80).alias("k"))
-    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    return d.join(F.broadcast(b), F.contains("text", F.col("head"))).groupBy("doc_id").agg(F.count("*").alias("benchmarks"))
+    """P10: answers that only repeat 80 characters of their block; each document is paired with one item."""
+    b = _t(spark, sf_dir, "benchmark").select("item_id", F.trim("text").alias("answer"))
+    d = _t(spark, sf_dir, "documents").select("doc_id", "text").withColumn("item_id", F.pmod("doc_id", F.lit(b.count())))
+    copied = (F.length("answer") >= 80) & F.contains("text", F.substring("answer", 1, 80))
+    return d.join(b, "item_id").select("doc_id", "item_id", copied.alias("copied"))
 
 
 @query("""

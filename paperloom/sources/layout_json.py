@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions.geometry import scaled_box
-from paperloom.functions.text import is_blank, pdf_pages, strip
+from paperloom.functions.text import is_blank, pdf_pages
 
 # Parser types and the element types they become; others are text.
 TYPES = {
@@ -47,7 +47,7 @@ _ITEM = "struct<type:string,page_idx:int,bbox:array<double>,text:string,list_ite
 
 def _said(v: Column) -> Column:
     """Text of a value that may be a string or a list of strings; a list is joined by lines."""
-    listed = F.array_join(F.try_variant_get(v, "$", "array<string>"), "\n")
+    listed = F.array_join(F.filter(F.try_variant_get(v, "$", "array<string>"), lambda x: ~is_blank(x)), "\n")
     return F.coalesce(F.when(F.schema_of_variant(v).startswith("ARRAY"), listed), F.try_variant_get(v, "$", "string"))
 
 
@@ -56,7 +56,7 @@ def _item_text(x: Column) -> Column:
     options = [x["text"], _said(x["content"]), _said(x["table_body"]), _said(x["table_caption"]), _said(x["img_caption"])]
     chain = F.when((x["type"] == "list") & x["list_items"].isNotNull(), F.array_join(x["list_items"], "\n"))
     for o in options:
-        chain = chain.when(~is_blank(o), strip(o))
+        chain = chain.when(~is_blank(o), o)
     return chain.otherwise("")
 
 
@@ -90,7 +90,7 @@ def elements(json_files: DataFrame, key: str = "paper_id", text: str = "text") -
     page = F.coalesce(x["page_idx"], F.col("w.outer"))
     kinds = F.create_map(*[F.lit(v) for kv in TYPES.items() for v in kv])
     listed = items.select(
-        key, "ord", F.format_string("m%06d", F.col("ord") + 1).alias("id"), F.when(page >= 0, page + 1).otherwise(0).alias("page"),
+        key, "ord", F.format_string("m%06d", F.col("ord") + 1).alias("id"), F.when(page >= 0, page + 1).otherwise(1).alias("page"),
         F.coalesce(F.try_element_at(kinds, x["type"]), F.lit("text")).alias("type"), scaled_box(x["bbox"]).alias("bbox"), _item_text(x).alias("text"),
         F.when(F.coalesce(x["confidence"], F.lit(0.0)) == 0, 1.0).otherwise(x["confidence"]).alias("confidence"),
     )
