@@ -16,7 +16,7 @@ from paperloom.llm.shared import hash_share
 
 BUCKETS = 1 << 18
 #: Labelled rows that the machine is fitted on, at most (about; a hash picks them where there are more).
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 12_000
 #: A term counts if this many training rows hold it, and at most so many terms do, the most telling ones.
 LEAST_ROWS, TERMS = 4, 4096
 FACTORS = 8
@@ -77,24 +77,32 @@ class FactorizationMachine:
         return out
 
 
-def fit(rows: list[list[int]], labels: list[int], seed: int = 5) -> FactorizationMachine:
-    """Fit by AdaGrad on the logistic loss. Without rows of both labels the score is constant."""
-    y = np.array(labels, np.float64)
-    slot = np.full(BUCKETS, -1, np.int64)
+def fit(flat: np.ndarray, lengths: np.ndarray, labels: np.ndarray, seed: int = 5) -> FactorizationMachine:
+    """Fit by AdaGrad on the logistic loss, the rarer label weighing more.
+
+    ``flat`` holds the rows' buckets one after another, ``lengths`` their
+    numbers. Without rows of both labels the score is constant.
+    """
+    y = np.asarray(labels, np.float64)
+    slot = np.full(BUCKETS, -1, np.int32)
     share = (y.sum() + 0.5) / (len(y) + 1)
     bias = math.log(share / (1 - share))
     if not len(y) or y.min() == y.max():
         return FactorizationMachine(slot, bias, np.zeros(1), np.zeros((1, FACTORS)))
-    flat = np.concatenate([np.array(r, np.int64) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    toxic = np.repeat(y > 0, lengths)
     n = np.bincount(flat, minlength=BUCKETS)
-    ones = np.bincount(flat, y[owner], minlength=BUCKETS)
+    ones = np.bincount(flat[toxic], minlength=BUCKETS)
     expected = n * y.mean()
     tell = np.where(n >= LEAST_ROWS, np.abs(ones - expected) / np.sqrt(expected * (1 - y.mean()) + 1), 0)
     best = np.argsort(-tell, kind="stable")[:TERMS]
     best = best[tell[best] > 0]
-    slot[best] = np.arange(len(best))
-    kept = [slot[r][slot[r] >= 0] if r else np.zeros(0, np.int64) for r in rows]
+    slot[best] = np.arange(len(best), dtype=np.int32)
+    known = slot[flat]
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), lengths)[known >= 0]
+    known = known[known >= 0]
+    ends = np.cumsum(np.bincount(owner, minlength=len(y)))
+    kept = np.split(known, ends[:-1])
+    weigh = np.where(y > 0, math.sqrt((len(y) - y.sum()) / y.sum()), 1.0)
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(best) + 1), rng.normal(0, 0.02, (len(best) + 1, FACTORS))
     gw, gv, gb = np.full(w.shape, 1e-2), np.full(v.shape, 1e-2), 1e-2
@@ -104,14 +112,13 @@ def fit(rows: list[list[int]], labels: list[int], seed: int = 5) -> Factorizatio
         order = rng.permutation(len(kept))
         for at in range(0, len(order), 128):
             some = order[at : at + 128]
-            lens = np.array([len(kept[i]) for i in some])
             idx = np.concatenate([kept[i] for i in some])
-            who = np.repeat(np.arange(len(some)), lens)
+            who = np.repeat(np.arange(len(some)), [len(kept[i]) for i in some])
             vi = v[idx]
             sums = np.zeros((len(some), FACTORS))
             np.add.at(sums, who, vi)
             z = bias + np.bincount(who, w[idx] - 0.5 * (vi * vi).sum(axis=1), len(some)) + 0.5 * (sums * sums).sum(axis=1)
-            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[some]) / len(some)
+            g = weigh[some] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[some]) / len(some)
             uniq, inv = np.unique(idx, return_inverse=True)
             dw = np.bincount(inv, g[who], len(uniq)) + l2 * w[uniq]
             dv = l2 * v[uniq]
@@ -130,10 +137,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> tuple[list[list[int]], list[int]]:
-    """Hashed terms and labels of the labelled rows outside the held-out fold, about ``bound`` at most.
+def training_rows(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed terms (one after another, and their numbers) and labels of the labelled rows outside the held-out fold, about ``bound`` at most.
 
-    A doc_id that carries both labels counts as toxic. Rows are in a repeatable order.
+    A doc_id that carries both labels counts as toxic. Rows are in the order of their ids.
     """
     marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(~held_out(F.col("doc_id")))
@@ -146,9 +153,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -
 
     chosen = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("doc_id", "toxic", "text")
     rows = chosen.mapInArrow(run, "doc_id long, toxic int, terms array<int>").toArrow()
-    order = np.lexsort([[len(x) for x in rows.column("terms").to_pylist()], rows.column("doc_id").to_numpy()]) if rows.num_rows else []
-    rows = rows.take(pa.array(order, pa.int64()))
-    return rows.column("terms").to_pylist(), rows.column("toxic").to_pylist()
+    found = rows.column("terms").combine_chunks()
+    order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
+    found = found.take(pa.array(order))
+    lengths = np.diff(found.offsets.to_numpy())
+    return found.flatten().to_numpy(), lengths, rows.column("toxic").to_numpy()[order]
 
 
 def score(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:
@@ -171,6 +180,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     null doc_id are scored and not held out; repeated rows are scored alike;
     without labels every score is one half.
     """
-    rows, marks = training_rows(docs, labels)
-    scored = score(docs, fit(rows, marks))
+    scored = score(docs, fit(*training_rows(docs, labels)))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
