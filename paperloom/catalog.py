@@ -18,6 +18,8 @@ from paperloom.functions.bits import hamming
 from paperloom.functions.geometry import gap, overlap_share, scaled_box
 from paperloom.operators import dedup, reports, rules, segment, store
 from paperloom.plans.ingest import from_markdown
+from paperloom.plans.layout import layout
+from paperloom.scratch import stored
 from paperloom.streaming.new_papers import identified
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,7 +113,7 @@ _ITEMS = f"""
 """)
 def trimmed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group items with the highest mean similarity, without pairing them."""
-    items = dedup.with_paths(dedup.candidate_items(identities(spark, sf_dir)))
+    items = stored(dedup.with_paths(dedup.candidate_items(identities(spark, sf_dir))), "items")
     return dedup.trimmed(items).select("fingerprint", "block_id", F.round("avg_score", 9).alias("avg_score"))
 
 
@@ -123,7 +125,7 @@ def trimmed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The most typical item of each group."""
-    items = dedup.with_paths(dedup.candidate_items(identities(spark, sf_dir)))
+    items = stored(dedup.with_paths(dedup.candidate_items(identities(spark, sf_dir))), "items")
     return dedup.representatives(items, "fingerprint").select("fingerprint", "block_id")
 
 
@@ -428,6 +430,21 @@ def scaled_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return l.where("b is not null").select("l_orderkey", "l_linenumber", "l_partkey", F.round(F.col("b")[0], 9).alias("x1"), F.round(F.col("b")[2], 9).alias("x2"))
 
 
+@query()
+def layout_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layout program over line items as elements of numbered texts and pictures."""
+    e = _elements(spark, sf_dir)
+    order = Window.partitionBy("paper_id").orderBy("l_orderkey", "page", "l_partkey")
+    n = F.row_number().over(order)
+    kind = F.when(F.col("l_partkey") % 29 == 0, "image").when(F.col("l_partkey") % 13 == 0, "formula").otherwise("text")
+    words = F.when(F.col("l_partkey") % 101 == 0, "一、选择题").when(F.col("l_partkey") % 4 == 0, F.concat((F.col("l_partkey") % 40 + 1).cast("string"), F.lit(". 计算 x"))).otherwise("如图 x")
+    raw = e.select(
+        F.col("paper_id").cast("string").alias("paper_id"), n.alias("ord"), F.format_string("e%06d", n).alias("id"), "page", kind.alias("type"), F.array("x1", "y1", "x2", "y2").alias("bbox"), words.alias("text"), F.lit(1.0).alias("confidence"),
+    )
+    b = layout(raw).blocks
+    return b.select("paper_id", "block_index", "question_block_id", "question_number", "column_index", F.size("element_ids").alias("elements"), F.size("assets").alias("assets"), F.size("warnings").alias("warnings"))
+
+
 # Links and integrity
 
 
@@ -563,13 +580,26 @@ def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def canonical_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical questions of groups, and their variants."""
-    items = dedup.with_paths(dedup.candidate_items(identities(spark, sf_dir)))
+    items = stored(dedup.with_paths(dedup.candidate_items(identities(spark, sf_dir))), "items")
     items = items.withColumns({"group_id": F.concat(F.lit("dcg_"), text.short_hash(F.col("fingerprint"))), "question_id": F.lit(None).cast("string")})
     made = store.canonical_rows(items, "batch")
     n = made["variants"].groupBy(F.col("canonical_question_id").alias("id")).agg(F.count("*").alias("variants"))
     return made["canonical"].join(n, "id").select("id", "canonical_fingerprint", "created_from_group_id", "status", "variants")
 
 
+@query(_ITEMS + """
+    , t AS (SELECT fingerprint, block_id FROM (SELECT *, row_number() OVER (PARTITION BY fingerprint ORDER BY avg_score DESC, block_id) AS r FROM g) WHERE r <= 20),
+    c AS (SELECT fingerprint, count(*) AS n FROM t GROUP BY 1)
+    SELECT id, candidate_count, papers FROM (
+        SELECT 'dcg_' || substr(sha256(fingerprint), 1, 16) AS id, CAST(n AS INTEGER) AS candidate_count,
+               (SELECT array_to_string(list_sort(list(DISTINCT m.paper_id))[1:3], ', ') FROM m JOIN t USING (fingerprint, block_id) WHERE m.fingerprint = c.fingerprint) AS papers FROM c)
+    ORDER BY candidate_count DESC, id LIMIT 50
+""")
+def group_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest groups with their first papers; the limit is the report's."""
+    return reports.group_summaries(dedup.candidate_groups(identities(spark, sf_dir))).select("id", "candidate_count", "papers")
+
+
 # Reports
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.bits import hamming, halves
 from paperloom.functions.text import short_hash
+from paperloom.scratch import stored
 
 #: Weights of equal texts, formulas and assets, and of shared sections.
 WEIGHTS = {"text_fingerprint": 0.25, "latex_fingerprint": 0.35, "asset_signature": 0.25}
@@ -93,7 +94,8 @@ def candidate_groups(identities: DataFrame, kind: str = "text", min_candidates:
 
     Groups need ``min_candidates`` papers; their items are those that ``trimmed`` keeps.
     """
-    kept = trimmed(with_paths(candidate_items(identities, kind, min_candidates)), most)
+    items = stored(with_paths(candidate_items(identities, kind, min_candidates)), "candidate-items")
+    kept = stored(trimmed(items, most), "candidate-kept")
     best = pairs(kept).groupBy("fingerprint").agg(F.max("score").alias("max_similarity"))
     item = F.struct("block_id", "paper_id", "section_path", "question_number", "source_position_key", "text_fingerprint", "latex_fingerprint", "asset_signature")
     found = kept.groupBy("fingerprint").agg(F.count("*").cast("int").alias("candidate_count"), F.array_sort(F.collect_list(item)).alias("items"))

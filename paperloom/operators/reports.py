@@ -129,3 +129,25 @@ def shadow_gates(papers: DataFrame) -> DataFrame:
     rate = F.try_divide(F.count_if(F.col("hierarchy_warnings") > 0).cast("double"), F.count("*").cast("double"))
     s = lambda name: F.count_if(F.col("stratum") == name)
     return papers.agg((F.coalesce(rate, F.lit(0.0)) <= 0.2).alias("g_hierarchy"), (F.count("*") >= 30).alias("g_papers"), (s("two_column") >= 8).alias("g_two_column"), (s("nonstandard_section") >= 5).alias("g_nonstandard"))
+
+
+def group_summaries(groups: DataFrame, most: int = 50, papers: int = 3) -> DataFrame:
+    """The largest candidate groups with their first papers; ``most`` is the report's length."""
+    names = F.slice(F.array_sort(F.array_distinct(F.transform("items", lambda i: i["paper_id"]))), 1, papers)
+    return groups.orderBy(F.desc("candidate_count"), "id").limit(most).select("id", "fingerprint_type", "candidate_count", "max_similarity", F.array_join(names, ", ").alias("papers"))
+
+
+def groups_json(groups: DataFrame, scores: DataFrame) -> DataFrame:
+    """``(id, value)``: each group with its items and the scores of its pairs, keyed ``i,j``, as JSON."""
+    key = F.concat_ws(",", F.col("i").cast("string"), F.col("j").cast("string"))
+    listed = scores.groupBy("fingerprint").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key.alias("k"), "score")))).alias("pairwise"))
+    return groups.join(listed, "fingerprint", "left").select("id", F.to_json(F.struct("id", "fingerprint", "fingerprint_type", "status", "items", "pairwise")).alias("value"))
+
+
+def markdown_table(rows: DataFrame, title: str, order: list[Column]) -> DataFrame:
+    """A report's rows as one Markdown text ``value``; for summaries, whose length is bounded."""
+    cells = F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns]), F.lit(" |"))
+    keyed = rows.select(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], cells.alias("line")).alias("r"))
+    lines = F.transform(F.array_sort(F.collect_list("r")), lambda r: r["line"])
+    head = [f"# {title}", "", "| " + " | ".join(rows.columns) + " |", "|" + " --- |" * len(rows.columns)]
+    return keyed.agg(F.array_join(F.concat(F.array(*[F.lit(h) for h in head]), lines), "\n").alias("value"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import cues
 from paperloom.functions.geometry import gap, overlap_share
 from paperloom.functions.text import strip, text_or_empty
+from paperloom.scratch import stored
 
 SPLIT_GAP = 0.18
 WIDE_TEXT = 0.75
@@ -277,11 +278,15 @@ def attached(warnings: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def layout(raw: DataFrame) -> Layout:
-    """Run the program over ``raw(paper_id, ord, id, page, type, bbox, text, confidence)``."""
-    rows = anchors(sections(ordered(prepared(raw))))
+    """Run the program over ``raw(paper_id, ord, id, page, type, bbox, text, confidence)``.
+
+    Elements, anchors, ownership and assignments are each read several times
+    and so are written once.
+    """
+    rows = stored(anchors(sections(ordered(prepared(raw)))), "layout-elements")
     pages = rows.where("cols is not null").groupBy("paper_id", "page").agg(F.first("cols").alias("cols"))
-    bounds = boundaries(rows, pages)
-    own = owned(bounds, rows)
+    bounds = stored(boundaries(rows, pages).drop("by_page"), "layout-anchors")
+    own = stored(owned(bounds, rows), "layout-owned")
     item = F.struct("ro", "id")
     cue = F.max(F.coalesce(cues.matches(F.col("text"), cues.VISUAL_CUE), F.lit(False)))
     held = own.groupBy("paper_id", "index").agg(
@@ -294,7 +299,8 @@ def layout(raw: DataFrame) -> Layout:
         F.greatest("eff", F.lit(0)).alias("column_index"), F.coalesce("box", F.array("x1", "y1", "x2", "y2")).alias("text_bbox"),
         F.coalesce("element_ids", F.array().cast("array<string>")).alias("element_ids"), F.coalesce("cue", F.lit(False)).alias("cue"),
     )
-    best = assigned(blocks, rows)
+    blocks = stored(blocks, "layout-blocks")
+    best = stored(assigned(blocks, rows), "layout-assets")
     told = lambda df, phase, seq, text: df.select("paper_id", F.lit(phase).alias("phase"), F.col(seq).cast("long").alias("seq"), F.lit(0).alias("sub"), text.alias("warning"))
     refused = accepted(raw).where("reject is not null")
     warnings = told(refused, 1, "ord", F.concat(F.lit("invalid_layout_element: "), F.col("reject")))
@@ -302,6 +308,7 @@ def layout(raw: DataFrame) -> Layout:
     warnings = warnings.unionByName(told(rows.where("missing"), 3, "ro", F.concat(F.lit("missing_anchor_suspected: "), F.col("id"), F.lit(" contains embedded question number"))))
     for more in (_block_warnings(bounds, held.select("paper_id", "index", "n")), _drift_warnings(rows, own, blocks), _hierarchy_warnings(rows, blocks), _asset_warnings(best)):
         warnings = warnings.unionByName(more)
+    warnings = stored(warnings, "layout-warnings")
     sure = best.where((F.col("score") >= REVIEW) & F.col("index").isNotNull())
     entry = F.struct("asset_ord", "asset_id", F.round("score", 4).alias("score"), "reasons", (F.col("score") < ASSIGN).alias("needs_review"))
     taken = sure.groupBy("paper_id", "index").agg(

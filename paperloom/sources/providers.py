@@ -114,3 +114,19 @@ def asset_key(paper: Column, question: Column, file_name: Column) -> Column:
 
 def asset_url(paper: Column, asset: Column) -> Column:
     return F.concat(F.lit("local://assets/"), paper, F.lit("/"), asset, F.lit(".png"))
+
+
+def to_store(assets: DataFrame, stored: DataFrame) -> DataFrame:
+    """Assets whose content is not stored yet under their id, with the key and address that they get."""
+    fresh = assets.join(stored.select("id", "content_hash"), ["id", "content_hash"], "left_anti")
+    return fresh.withColumns({"storage_url": asset_url(F.col("paper_id"), F.col("id")), "object_key": F.concat_ws("/", F.lit("assets"), "paper_id", F.concat("id", F.lit(".png")))})
+
+
+def to_crop(assets: DataFrame) -> DataFrame:
+    """Assets without a crop; failed ones are tried again."""
+    return assets.where(F.coalesce("crop_path", F.lit("")) == "")
+
+
+def to_hash(assets: DataFrame) -> DataFrame:
+    """Assets with a crop and without a perceptual hash."""
+    return assets.where((F.coalesce("crop_path", F.lit("")) != "") & (F.coalesce("perceptual_hash", F.lit("")) == ""))
