@@ -12,16 +12,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.shared import hash_share, stored
 
-ORDER = 5
-#: Bits of a symbol: code points below 2048 stand for themselves, others share 2047 classes.
-SYMBOL_BITS = 12
-_PLAIN = 1 << 11
+ORDER = 4
+#: Bits of a symbol: code points below 16384 stand for themselves, others share 16383 classes.
+SYMBOL_BITS = 15
+_PLAIN = 1 << 14
 #: Symbol 0 pads the start of a text, symbol 1 ends it (U+0001 counts as an end).
 _END = 1
 #: Labelled rows that the model is fitted on, at most (about; a hash picks them where there are more).
@@ -30,8 +30,11 @@ TRUSTED_ROWS = 200_000
 KEEP_QUANTILE = 0.998
 #: Trusted documents that a language needs for a threshold of its own.
 LEAST_TRUSTED = 200
-#: Texts scored together: their distinct n-grams are looked up once.
-BLOCK_CHARS = 4_000_000
+ADDED = ("lm_symbols", "lm_perplexity", "lm_threshold", "lm_kept")
+#: Rows of a file whose distinct n-grams are looked up together.
+BLOCK_ROWS = 4096
+#: Characters of texts whose n-grams are in memory at once (or one text's).
+RUN_CHARS = 2_000_000
 
 
 def symbols(text: str) -> np.ndarray:
@@ -53,10 +56,10 @@ def ngrams(text: str) -> np.ndarray:
 
 
 def _blocks(texts: list[str | None]) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """Runs of texts that hold BLOCK_CHARS characters together, or one text each: (first row, n-grams)."""
+    """Runs of texts that hold RUN_CHARS characters together, or one text each: (first row, n-grams)."""
     first, run, size = 0, [], 0
     for at, text in enumerate(texts):
-        if run and size + len(text or "") > BLOCK_CHARS:
+        if run and size + len(text or "") > RUN_CHARS:
             yield first, run
             first, run, size = at, [], 0
         run.append(ngrams(text or ""))
@@ -123,69 +126,88 @@ def log_probabilities(keys: DataFrame, model: dict[int, tuple[DataFrame, DataFra
     return scored.select("key", F.log("p").alias("logp"))
 
 
-def _pack(columns: list[str]):
-    """Rows to one compressed block of Arrow data for each block of documents, named by its content's place."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-            block = np.cumsum(sizes) // BLOCK_CHARS
-            for at in np.unique(block):
-                first, last = np.searchsorted(block, at), np.searchsorted(block, at, "right")
-                piece = batch.slice(first, last - first).select(columns)
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-                    writer.write_batch(piece)
-                yield pa.RecordBatch.from_arrays([pa.array([piece.num_rows], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["n", "rows"])
-
-    return run
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of one block as compressed Arrow data."""
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+    for batch in batches:
+        for block, piece in _by_block(batch):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, piece.schema, options=options) as writer:
+                writer.write_batch(piece)
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
 
 
-def _rows(blob: bytes) -> pa.Table:
-    return pa.ipc.open_stream(blob).read_all()
+def _by_block(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Runs of equal blocks in a batch, without the block's column."""
+    at = batch.schema.get_field_index("lm_block")
+    blocks = batch.column(at).to_numpy()
+    rest = batch.remove_column(at)
+    edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+    for first, last in zip(edges, edges[1:], strict=False):
+        if last > first:
+            yield int(blocks[first]), rest.slice(first, last - first)
 
 
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct n-grams of each block."""
+    """The distinct n-grams of each block, once for each task that reads of it."""
+    now, keys = None, np.zeros(0, np.int64)
+    out = lambda: pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), now)), pa.array(keys)], ["block", "key"])
     for batch in batches:
-        for block, blob in zip(batch.column("block").to_pylist(), batch.column("rows"), strict=True):
-            keys = np.zeros(0, np.int64)
-            for _, run in _blocks(_rows(blob.as_py()).column("text").to_pylist()):
+        for block, rows in _by_block(batch):
+            if block != now:
+                if len(keys):
+                    yield out()
+                now, keys = block, keys[:0]
+            for _, run in _blocks(rows.column("text").to_pylist()):
                 keys = np.union1d(keys, np.concatenate(run))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), pa.array(keys)], ["block", "key"])
+    if len(keys):
+        yield out()
+
+
+def _blocked(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``lm_block``, the place of each row's file and row range; other frames are written first."""
+    place = F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / BLOCK_ROWS))
+    try:
+        return docs.withColumn("lm_block", place)
+    except AnalysisException:
+        return stored(docs, "lm-input").withColumn("lm_block", place)
 
 
-def score(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """``docs`` with ``lm_symbols`` and ``lm_perplexity``; columns of those names are replaced.
+def score(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], carry: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``carry``) with ``lm_symbols`` and ``lm_perplexity``.
 
-    A null or empty text has one symbol, its end. All rows and columns stay.
+    Texts travel once, compressed, to meet the answers for their block. A null
+    or empty text has one symbol, its end. All rows stay.
     """
-    columns = [c for c in docs.columns if c not in ("lm_symbols", "lm_perplexity")]
-    kept = docs.select(*columns)
-    packed = kept.mapInArrow(_pack(columns), "n long, rows binary")
-    blocks = stored(packed.select(F.monotonically_increasing_id().alias("block"), "n", "rows"), "lm-blocks")
-    wanted = stored(blocks.mapInArrow(_wanted, "block long, key long"), "lm-wanted")
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in ADDED]
+    needed = list(dict.fromkeys([*carry, "text"]))
+    blocks = _blocked(docs.select(*needed))
+    wanted = stored(blocks.select("text", "lm_block").mapInArrow(_wanted, "block long, key long"), "lm-wanted")
     known = stored(log_probabilities(wanted.select("key").distinct(), model), "lm-known")
-    answers = wanted.join(known, "key")
-    schema = kept.schema.add("lm_symbols", "long").add("lm_perplexity", "double")
+    answers = wanted.join(known, "key").select("block", "key", "logp")
+    schema = docs.select(*carry).schema.add("lm_symbols", "long").add("lm_perplexity", "double")
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(right.column("key").to_numpy())
-        keys, logp = right.column("key").to_numpy()[order], right.column("logp").to_numpy()[order]
+        keys, first = np.unique(right.column("key").to_numpy(), return_index=True)
+        logp = right.column("logp").to_numpy()[first]
         out = []
         for blob in left.column("rows"):
-            rows = _rows(blob.as_py())
+            rows = pa.ipc.open_stream(blob.as_py()).read_all()
             n, total = [], []
-            for _, block in _blocks(rows.column("text").to_pylist()):
-                ends = np.cumsum([len(x) for x in block])
-                found = logp[np.searchsorted(keys, np.concatenate(block))]
-                total.append(np.add.reduceat(found, np.concatenate([[0], ends[:-1]])))
+            for _, run in _blocks(rows.column("text").to_pylist()):
+                ends = np.cumsum([len(x) for x in run])
+                asked = np.concatenate(run)
+                at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+                if not np.array_equal(keys[at], asked):
+                    raise ValueError("the documents changed between two reads")
+                total.append(np.add.reduceat(logp[at], np.concatenate([[0], ends[:-1]])))
                 n.append(np.diff(ends, prepend=0))
             n, total = np.concatenate(n), np.concatenate(total)
-            out.append(rows.append_column("lm_symbols", pa.array(n)).append_column("lm_perplexity", pa.array(np.exp(-total / n))))
+            out.append(rows.select(carry).append_column("lm_symbols", pa.array(n)).append_column("lm_perplexity", pa.array(np.exp(-total / n))))
         return pa.concat_tables(out)
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+    packed = blocks.mapInArrow(_packed, "block long, rows binary")
+    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
 def trusted_ids(labels: DataFrame, bound: int = TRUSTED_ROWS) -> DataFrame:
@@ -194,25 +216,25 @@ def trusted_ids(labels: DataFrame, bound: int = TRUSTED_ROWS) -> DataFrame:
     return good.where(hash_share(F.col("doc_id"), bound, good.count(), 1))
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE) -> DataFrame:
-    """``docs`` with ``lm_symbols``, ``lm_perplexity``, ``lm_threshold`` and ``lm_kept``.
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE, carry: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``carry``, which hold doc_id and lang) with ``lm_symbols``, ``lm_perplexity``,
+    ``lm_threshold`` and ``lm_kept``.
 
     A document is kept if its perplexity is no more than the ``quantile`` of
     those of its language's trusted documents; languages (null is one) with
     fewer than LEAST_TRUSTED of them use the quantile over all. Without trusted
     documents every row is kept and the threshold is null. Null and empty texts
-    are judged like others; repeated rows are judged alike.
+    are judged like others; repeated rows are judged alike; columns of ``docs``
+    that have these names are replaced.
     """
     ids = trusted_ids(labels)
-    extra = ("lm_symbols", "lm_perplexity", "lm_threshold", "lm_kept")
-    docs = docs.select(*[c for c in docs.columns if c not in extra])
-    model = train(docs.join(F.broadcast(ids), "doc_id", "left_semi"))
-    scored = stored(score(docs, model), "lm-scored")
+    model = train(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi"))
+    scored = stored(score(docs, model, carry), "lm-scored")
     trusted = scored.select("doc_id", "lang", "lm_perplexity").join(F.broadcast(ids), "doc_id", "left_semi")
     at = F.percentile_approx("lm_perplexity", F.lit(quantile), F.lit(10_000))
     overall = trusted.agg(at.alias("q")).first().q
-    own = trusted.groupBy("lang").agg(F.count("*").alias("n"), at.alias("own")).where(F.col("n") >= LEAST_TRUSTED)
-    own = own.select(F.col("lang").alias("_lang"), "own")
-    judged = scored.join(own, scored["lang"].eqNullSafe(own["_lang"]), "left").drop("_lang")
-    judged = judged.withColumn("lm_threshold", F.coalesce("own", F.lit(overall).cast("double"))).drop("own")
+    own = trusted.groupBy("lang").agg(F.count("*").alias("n"), at.alias("lm_own")).where(F.col("n") >= LEAST_TRUSTED)
+    own = own.select(F.col("lang").alias("lm_lang"), "lm_own")
+    judged = scored.join(own, scored["lang"].eqNullSafe(own["lm_lang"]), "left").drop("lm_lang")
+    judged = judged.withColumn("lm_threshold", F.coalesce("lm_own", F.lit(overall).cast("double"))).drop("lm_own")
     return judged.withColumn("lm_kept", F.coalesce(F.col("lm_perplexity") <= F.col("lm_threshold"), F.lit(True)))

@@ -12,8 +12,8 @@ from paperloom.llm.shared import table
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    judged = quality_lm.classify(docs, table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents")
+    judged = quality_lm.classify(docs, table(spark, sf_dir, "labels"), carry=["doc_id", "lang"])
     return judged.select("doc_id", "lang", "lm_symbols", "lm_perplexity", "lm_threshold", F.col("lm_kept").alias("kept"))
 
 
