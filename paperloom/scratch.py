@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 @cache
@@ -14,10 +14,15 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="paperloom-")
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path below the session's checkpoint folder; one of this process only where none is configured."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once and read back: several readers share its work, and a lost executor costs none."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
