@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -18,3 +21,14 @@ def session(cores: int | str = "*", shuffle: int | None = None, **conf: str) ->
         **conf,
     }
     return builder.config(map=settings).getOrCreate()
+
+
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, whatever their working folder.
+
+    Where executors have no such folder, submit the package with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    known = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *known])
