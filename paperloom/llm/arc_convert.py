@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm.shared import scratch_path
+from paperloom.scratch import scratch_path
 
 #: Payloads of fewer bytes are never recorded as revisits.
 LEAST_REVISIT = 1000

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.shared import let, stored, words_of
+from paperloom.llm.shared import let, words_of
+from paperloom.scratch import stored
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"

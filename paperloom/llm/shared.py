@@ -1,11 +1,7 @@
-"""What the corpus operators have in common: tables, the shared scratch folder and bounded samples."""
+"""What the corpus operators have in common: tables, words and bounded samples."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,28 +13,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of this process only where none is configured."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else _own_folder()
-
-
-@cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="paperloom-")
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back, so that a lost executor costs no recomputation."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def words_of(text: Column) -> Column:
     """The ASCII-space separated words of ``text`` (null: none)."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.shared import stored, words_of
+from paperloom.llm.shared import words_of
+from paperloom.scratch import stored
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5

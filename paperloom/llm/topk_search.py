@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.shared import let, stored
+from paperloom.llm.shared import let
+from paperloom.scratch import stored
 
 K = 5
 #: Every list holds the scores over one slice of the components.
