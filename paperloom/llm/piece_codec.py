@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 from collections.abc import Iterator
@@ -70,9 +71,11 @@ class PieceCodec:
         plain = not self.map.units and self.dummy and self.escape and not self.squeeze and spec.trainer_spec.model_type == 2
         #: No merge crosses the start of a run, so that runs can be encoded one by one and kept.
         self.by_run = plain and not inside and not line and not any(k == _USER for k in self.kinds) and not spec.trainer_spec.treat_whitespace_as_suffix
-        self.cache: dict[str, tuple[list[int], bytes]] = {}
+        #: Bytes of the normalised text that each id takes; those of an unknown piece depend on the text.
+        self.sizes = [1 if p.type == _BYTE else -1 if p.type == _UNKNOWN else len(p.piece.encode()) for p in spec.pieces]
+        self.cache: dict[str, tuple[list[int], bytes, bytes]] = {}
 
-    def normalize(self, text: str) -> tuple[bytes, np.ndarray]:
+    def normalize(self, text: str) -> tuple[bytes, list[int]]:
         """The normalised text in UTF-8, and for each of its bytes and its end the source byte it came from."""
         data = text.encode()
         out, source = bytearray(), []
@@ -82,6 +85,22 @@ class PieceCodec:
             source.extend([at] * len(piece))
 
         space = SPACE.encode() if self.escape else b" "
+        if data and not self.map.units and not self.squeeze:  # no key can match: each character stands for itself
+            first = len(space) if self.dummy else 0
+            at, source = 0, [0] * first
+            for c in text:
+                if c == " ":
+                    source += [at] * len(space)
+                    at += 1
+                elif c < "\x80":
+                    source.append(at)
+                    at += 1
+                else:
+                    size = len(c.encode())
+                    source += [at] * size
+                    at += size
+            source.append(at)
+            return space[:first] + data.replace(b" ", space), source
         at, parts = 0, []
         while at < len(data):
             size, piece = self.map.longest(data, at)
@@ -107,14 +126,19 @@ class PieceCodec:
             while out.endswith(space):
                 end = source[len(out) - len(space)]
                 del out[-len(space) :], source[-len(space) :]
-        return bytes(out), np.array([*source, end], np.int64)
+        return bytes(out), [*source, end]
 
-    def _run(self, run: str) -> tuple[list[int], bytes]:
+    def _run(self, run: str) -> tuple[list[int], bytes, bytes]:
+        """Ids, their joined pieces, and the source byte of the run that each piece ends at (int32)."""
         if run == " ":  # the library adds no space to an empty text
-            ids = self.library.encode("\n")[:1]
+            ids, ends = self.library.encode("\n")[:1], [1]
+        elif run[0] == " ":  # the space is the one that the normaliser adds
+            ids = self.library.encode(run[1:])
+            ends = [e + 1 for _, e in self.spans(run[1:], ids)]
         else:
-            ids = self.library.encode(run[1:]) if run[0] == " " else self.library.encode(run)[1:]
-        return ids, self._joined(ids)
+            ids = self.library.encode(run)
+            ids, ends = ids[1:], [e for _, e in self.spans(run, ids)[1:]]
+        return ids, self._joined(ids), np.array(ends, np.int32).tobytes()
 
     def _joined(self, ids: list[int]) -> bytes:
         return b"".join(b" \xe2\x81\x87 " if self.kinds[i] == _UNKNOWN else b"" if self.kinds[i] == _CONTROL else self.bytes_of[i] for i in ids)
@@ -126,10 +150,32 @@ class PieceCodec:
         if not self.by_run:
             ids = self.library.encode(text)
             return ids, self._joined(ids)
+        found = self._runs(text)
+        return list(chain.from_iterable(x[0] for x in found)), b"".join([x[1] for x in found])
+
+    def encode_spans(self, text: str | None) -> tuple[list[int], bytes, np.ndarray, np.ndarray]:
+        """What ``encode`` and ``spans`` give, with begins and ends as arrays."""
+        if not text or not self.by_run or SPACE in text:  # a written-out space has three bytes, its run one
+            ids, joined = self.encode(text)
+            spans = np.array(self.spans(text, ids), np.int32).reshape(-1, 2)
+            begins, ends = spans[:, 0], spans[:, 1]
+        else:
+            found = self._runs(text)
+            ids, joined = list(chain.from_iterable(x[0] for x in found)), b"".join([x[1] for x in found])
+            ends = np.frombuffer(b"".join([x[2] for x in found]), np.int32)
+            counts = np.array([len(x[0]) for x in found])
+            sizes = ends[np.cumsum(counts) - 1]
+            ends = ends + np.repeat(np.cumsum(sizes, dtype=np.int32) - sizes - 1, counts)  # the first run starts with the added space
+            begins = np.concatenate([[0], ends[:-1]]).astype(np.int32)
+        if text and (begins[0] != 0 or ends[-1] != len(text.encode())):
+            raise ValueError(f"spans cover bytes {begins[0]} to {ends[-1]} of {len(text.encode())}")
+        return ids, joined, begins, ends
+
+    def _runs(self, text: str) -> list[tuple[list[int], bytes, bytes]]:
         runs = re.findall(r"\n[^ \n]*| +[^ \n]*", " " + text.replace(SPACE, " "))
         cache = self.cache
         try:
-            found = [cache[r] for r in runs]
+            return [cache[r] for r in runs]
         except KeyError:
             if len(cache) > CACHE_RUNS:
                 cache.clear()
@@ -138,7 +184,7 @@ class PieceCodec:
                 if r not in cache:
                     cache[r] = self._run(r)
                 found.append(cache[r])
-        return list(chain.from_iterable(x[0] for x in found)), b"".join([x[1] for x in found])
+            return found
 
     def decode(self, ids: list[int], joined: bytes | None = None) -> str:
         """What the library's decode gives."""
@@ -154,17 +200,13 @@ class PieceCodec:
         norm, source = self.normalize(text)
         ends, at = [], 0
         for i in ids:
-            if self.kinds[i] == _BYTE:
-                at += 1
-            elif self.kinds[i] == _UNKNOWN:
-                at = len(norm) if len(ids) == 1 else at + _unknown_length(norm, at)
-            else:
-                at += len(self.pieces[i].encode())
+            size = self.sizes[i]
+            at = at + size if size >= 0 else len(norm) if len(ids) == 1 else at + _unknown_length(norm, at)
             ends.append(at)
         if ends and ends[-1] != len(norm):
             raise ValueError(f"pieces end at byte {ends[-1]} of {len(norm)}")
         begins = [0, *ends[:-1]]
-        return [(int(source[b]), int(source[e])) for b, e in zip(begins, ends, strict=True)]
+        return [(source[b], source[e]) for b, e in zip(begins, ends, strict=True)]
 
 
 def _unknown_length(norm: bytes, at: int) -> int:
@@ -190,37 +232,49 @@ def encode(docs: DataFrame, model_path: str, with_spans: bool = False) -> DataFr
     file is read by the driver and travels with the task (its size does not
     depend on the data).
     """
+    return _encoded(docs, model_path, "begins array<int>, ends array<int>" if with_spans else "")
+
+
+def _encoded(docs: DataFrame, model_path: str, more: str) -> DataFrame:
+    """``(doc_id, ids, decoded)`` and the columns of ``more``: none, both of the spans, or their digest."""
     with open(model_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
+    names = ["doc_id", "ids", "decoded", *(c.split()[0] for c in more.split(", ") if c)]
 
-    def lists(rows: list[list[int]]) -> pa.ListArray:
+    def lists(rows: list) -> pa.ListArray:
         ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(rows), np.int32, int(ends[-1]))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model.value)
+        one = codec.encode_spans if more else codec.encode
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                texts = batch.column("text").to_pylist()
-                done = [codec.encode(t) for t in texts]
-                columns = [batch.column("doc_id"), lists([d[0] for d in done]), pa.array([codec.decode(*d) for d in done], pa.string())]
-                if with_spans:
-                    spans = [codec.spans(t, d[0]) for t, d in zip(texts, done, strict=True)]
-                    columns += [lists([[s[k] for s in row] for row in spans]) for k in (0, 1)]
+                done = [one(t) for t in batch.column("text").to_pylist()]
+                columns = [batch.column("doc_id"), lists([d[0] for d in done]), pa.array([codec.decode(*d[:2]) for d in done], pa.string())]
+                if "begins" in names:
+                    columns += [lists([d[k] for d in done]) for k in (2, 3)]
+                elif more:
+                    columns.append(pa.array([span_digest(*d[2:]) for d in done], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["doc_id", "ids", "decoded", *["begins", "ends"] * with_spans]
-    schema = "doc_id long, ids array<int>, decoded string" + ", begins array<int>, ends array<int>" * with_spans
+    schema = "doc_id long, ids array<int>, decoded string" + (f", {more}" if more else "")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
+def span_digest(begins: np.ndarray, ends: np.ndarray) -> str:
+    """SHA-256 of all begins and then all ends, each as four bytes, the lowest first."""
+    return hashlib.sha256(np.concatenate([begins, ends]).astype("<i4").tobytes()).hexdigest()
+
+
 def digests(docs: DataFrame, model_path: str) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every row."""
-    done = encode(docs, model_path)
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256, spans_sha256)`` of every row."""
+    done = _encoded(docs, model_path, "spans_sha256 string")
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        "spans_sha256",
     )

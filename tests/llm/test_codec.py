@@ -83,3 +83,14 @@ def test_query_rows(spark):
 def test_span_columns(spark, codec):
     for r in P.encode(docs(spark), PATH, with_spans=True).join(docs(spark), "doc_id").select("text", "ids", "begins", "ends").collect():
         assert list(zip(r.begins, r.ends)) == codec.spans(r.text, r.ids)
+
+
+def test_query_has_the_spans_of_every_row(spark, codec):
+    import numpy as np
+
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts())] + [(9999, None, "en", "a", 0)]
+    got = {r.doc_id: r.spans_sha256 for r in P.digests(docs(spark, rows), PATH).collect()}
+    for i, t, *_ in rows:
+        spans = codec.spans(t, codec.library.encode(t or ""))
+        whole = np.array([a for a, _ in spans] + [b for _, b in spans], "<i4").tobytes()
+        assert got[i] == hashlib.sha256(whole).hexdigest(), t
