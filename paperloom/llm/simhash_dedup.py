@@ -20,8 +20,6 @@ MAX_DISTANCE = 2
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Shingles whose bits are counted at once; bounds the memory that a very long text takes.
 _BLOCK = 1 << 16
-#: Node numbers from here on stand for fingerprints that only rows without an id have.
-_NO_ID = 1 << 62
 
 
 def simhash(text: bytes | None, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -42,16 +40,16 @@ def simhash(text: bytes | None, shingle_words: int = SHINGLE_WORDS, seed: int =
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """``(doc_id, fp)`` of every row, ``fp`` being the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, seed: int = SEED, more: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp)`` of every row, ``fp`` being the fingerprint as a signed long, and its long columns ``more``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([simhash(x, shingle_words, seed) for x in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64)), *(batch.column(c) for c in more)], ["doc_id", "fp", *more])
 
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return kept.mapInArrow(run, "doc_id long, fp long")
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *more)
+    return kept.mapInArrow(run, "doc_id long, fp long" + "".join(f", {c} long" for c in more))
 
 
 def ball_masks(radius: int) -> list[int]:
@@ -81,6 +79,16 @@ def links(nodes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     return near.select(F.least("node", "node0").alias("a"), F.greatest("node", "node0").alias("b")).distinct()
 
 
+def _classes(found: DataFrame, max_distance: int) -> DataFrame:
+    """``(fp, least, component)`` of each fingerprint of ``found(doc_id, fp)``: its least doc_id, and its component's number.
+
+    Fingerprints are numbered by themselves, so that texts that share a doc_id are not linked by it.
+    """
+    nodes = stored(found.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("node", F.col("fp")), "simhash-nodes")
+    label = components(links(nodes, max_distance))
+    return nodes.join(label, "node", "left").select("fp", "least", F.coalesce("label", "node").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row of ``docs(doc_id, text)``.
 
@@ -90,19 +98,22 @@ def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFr
     component_id. Other columns are ignored; an empty table gives no rows.
     """
     found = stored(fingerprints(docs), "simhash")
-    nodes = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    stand_in = F.lit(_NO_ID).bitwiseOR(F.shiftrightunsigned("fp", 2))
-    nodes = stored(nodes.select("fp", F.coalesce("least", stand_in).alias("node")), "simhash-nodes")
-    label = components(links(nodes, max_distance))
-    classes = nodes.join(label, "node", "left").select("fp", F.coalesce("label", "node").alias("component_id"))
+    classes = stored(_classes(found, max_distance), "simhash-classes")
+    named = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     hex16 = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    least = F.when(F.col("component_id") < _NO_ID, F.col("component_id"))
-    return found.join(classes, "fp").select("doc_id", hex16.alias("fingerprint"), least.alias("component_id"))
+    told = classes.join(named, "component").select("fp", "component_id")
+    return found.join(told, "fp").select("doc_id", hex16.alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's; of rows that share it, one stays."""
-    classes = near_duplicates(docs, max_distance)
-    stay = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
-    kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of each component of ``docs``: that of the least doc_id (nulls last), then of the least hash of the text.
+
+    Of rows that agree in both, one stays.
+    """
+    found = stored(fingerprints(docs.withColumn("_text_hash", F.xxhash64("text")), more=("_text_hash",)), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("_text_hash").alias("hash"))
+    stay = found.join(_classes(found, max_distance), "fp").groupBy("component").agg(F.min(order).alias("least"))
+    stay = stay.select(F.col("least.id").alias("_stay"), F.col("least.hash").alias("_stay_hash"))
+    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
+    same = rows["doc_id"].cast("long").eqNullSafe(stay["_stay"]) & (rows["_text_hash"] == stay["_stay_hash"])
+    return rows.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")

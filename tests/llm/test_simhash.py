@@ -114,3 +114,10 @@ def test_components_of_chains_and_hubs(spark):
     got = {r.node: r.label for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, **{100 + i: 100 for i in range(1, 60)}, 202: 201}
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_texts_without_or_with_a_shared_id_stay(spark):
+    a, b, c, d = (prose(i, 80) for i in range(20, 24))
+    rows = [(None, a, "en", "a", 0), (None, b, "en", "a", 0), (None, b, "en", "b", 0), (1, c, "en", "a", 0), (1, d, "en", "a", 0), (None, c, "en", "a", 0)]
+    got = [(r.doc_id, r.text) for r in S.one_of_each(docs(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted([(None, a), (None, b), (1, c), (1, d)], key=str)
