@@ -28,6 +28,8 @@ _DIGIT = re.compile(r"[0-9]")
 _CANDIDATE = re.compile(r"(?a)(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])(?=[0-9+/_.=-]*[A-Za-z])[A-Za-z0-9+/_.=-]{16,}")
 #: Characters taken from before, from the start of, and from after a candidate.
 BEFORE, INSIDE, AFTER = 24, 48, 8
+#: Characters from one piece of a longer candidate to the next.
+STRIDE = 16
 _WIDE, _FILTERS, _CLASSES = 5, 24, 98
 #: Documents and candidates that the network is trained on, at most (documents about).
 TRAIN_DOCS, TRAIN_CANDIDATES = 20_000, 1_500
@@ -53,6 +55,12 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _CANDIDATE.finditer(text)]
 
 
+def pieces(start: int, end: int) -> list[tuple[int, int]]:
+    """Overlapping spans of at most INSIDE characters that cover a candidate."""
+    firsts = [*range(start, end - INSIDE, STRIDE), max(start, end - INSIDE)]
+    return [(a, min(a + INSIDE, end)) for a in firsts]
+
+
 def window(text: str, start: int, end: int) -> np.ndarray:
     """Character classes of a candidate and its surroundings; 0 where there is no character."""
     parts = ((text[max(0, start - BEFORE) : start], BEFORE, True), (text[start : min(end, start + INSIDE)], INSIDE, False), (text[end : end + AFTER], AFTER, False))
@@ -173,7 +181,7 @@ def labelled_findings(docs: DataFrame, bound: int = TRAIN_DOCS, most: int = TRAI
             xs, ys = [], []
             for value in batch.column("text"):
                 text = value.as_py() or ""
-                spans = candidates(text)
+                spans = [s for c in candidates(text) for s in pieces(*c)]
                 base = base_spans(text) if spans else []
                 xs += [window(text, a, b).tobytes() for a, b in spans]
                 ys += [int(any(s < b and a < e for s, _, e in base)) for a, b in spans]
@@ -208,11 +216,11 @@ def scan_texts(texts: list[str | None], net: CharNetwork) -> list[list[tuple[int
     for i, text in enumerate(texts):
         for a, b in candidates(text or ""):
             if not any(s < b and a < e for s, _, e in found[i]):
-                more.append((i, a, b))
-                xs.append(window(text or "", a, b))
+                more.append((i, a, b, len(xs)))
+                xs += [window(text or "", *s) for s in pieces(a, b)]
     if xs:
-        p = net.probability(np.array(xs))
-        for (i, a, b), hit in zip(more, p >= net.threshold, strict=True):
+        p = np.maximum.reduceat(net.probability(np.array(xs)), [m[3] for m in more])  # a candidate's likeliest piece counts
+        for (i, a, b, _), hit in zip(more, p >= net.threshold, strict=True):
             if hit:
                 found[i].append((a, len(RULES), b))
     kinds = [*[r[0] for r in RULES], MODEL_KIND]

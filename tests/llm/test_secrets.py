@@ -79,3 +79,12 @@ def test_redact(spark, net):
 
 def test_empty(spark):
     assert S.report(no_docs(spark)).collect() == []
+
+
+def test_key_at_the_end_of_a_long_run(net):
+    key = "sk_live_" + "Zq8Xw3Rt7Yp2Lk9Vb4Nm6Hd1"
+    text = f"see //files.example.org/static/archive/exports/nightly/{key} for more"
+    assert [text[a:b].endswith(key) for a, b, k in S.scan_text(text, net) if k == S.MODEL_KIND] == [True]
+    for n in (16, 48, 49, 64, 65, 300):
+        spans = S.pieces(5, 5 + n)
+        assert {i for a, b in spans for i in range(a, b)} == set(range(5, 5 + n)) and all(b - a <= S.INSIDE for a, b in spans)
