@@ -20,7 +20,6 @@ from paperloom.scratch import scratch_path
 LEAST_REVISIT = 1000
 #: Records that one archive file holds at most; a file is read whole by one task.
 FILE_RECORDS = 4_000
-_URL_BYTES = 2_000
 
 #: Fields of a record's header line, for each version that a file's first record may name.
 FIELDS = {
@@ -164,7 +163,7 @@ _HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n"
 
 def _clean_url(url: str | None) -> str:
     """A URL without white space or control characters, as a header line needs it."""
-    return "".join(c if c > " " and c != "\x7f" else "%" + format(ord(c), "02X") for c in url or "")[:_URL_BYTES] or "urn:none"
+    return "".join(c if c > " " and c != "\x7f" else "%" + format(ord(c), "02X") for c in url or "") or "urn:none"
 
 
 def _arc_date(page_id: int | None) -> str:

@@ -67,3 +67,10 @@ def test_pages(spark, tmp_path):
 
 def test_no_pages(spark):
     assert A.convert(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_long_urls_stay_whole(spark):
+    urls = ["http://a/" + "x" * 5_000 + end for end in ("1", "2")]
+    df = spark.createDataFrame([(i, u, "small") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = A.convert(df).collect()
+    assert sorted(r.target_uri for r in got) == urls and len({r.record_id for r in got}) == 2
