@@ -16,7 +16,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.shared import hash_share
 from paperloom.scratch import stored
 
 ORDER = 4
@@ -25,8 +24,6 @@ SYMBOL_BITS = 15
 _PLAIN = 1 << 14
 #: Symbol 0 pads the start of a text, symbol 1 ends it (U+0001 counts as an end).
 _END = 1
-#: Labelled rows that the model is fitted on, at most (about; a hash picks them where there are more).
-TRUSTED_ROWS = 200_000
 #: Share of a language's trusted documents that its threshold keeps.
 KEEP_QUANTILE = 0.998
 #: Trusted documents that a language needs for a threshold of its own.
@@ -211,10 +208,9 @@ def score(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], carry:
     return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
-def trusted_ids(labels: DataFrame, bound: int = TRUSTED_ROWS) -> DataFrame:
-    """``(doc_id)`` of the rows labelled good, each once; about ``bound`` at most."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    return good.where(hash_share(F.col("doc_id"), bound, good.count(), 1))
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """``(doc_id)`` of all rows labelled good, each once."""
+    return labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE, carry: list[str] | None = None) -> DataFrame:
@@ -228,10 +224,10 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE
     are judged like others; repeated rows are judged alike; columns of ``docs``
     that have these names are replaced.
     """
-    ids = trusted_ids(labels)
-    model = train(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi"))
+    ids = stored(trusted_ids(labels), "lm-trusted")
+    model = train(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"))
     scored = stored(score(docs, model, carry), "lm-scored")
-    trusted = scored.select("doc_id", "lang", "lm_perplexity").join(F.broadcast(ids), "doc_id", "left_semi")
+    trusted = scored.select("doc_id", "lang", "lm_perplexity").join(ids, "doc_id", "left_semi")
     at = F.percentile_approx("lm_perplexity", F.lit(quantile), F.lit(10_000))
     overall = trusted.agg(at.alias("q")).first().q
     own = trusted.groupBy("lang").agg(F.count("*").alias("n"), at.alias("lm_own")).where(F.col("n") >= LEAST_TRUSTED)

@@ -77,3 +77,8 @@ def test_without_labels_or_rows(spark):
     none = spark.createDataFrame([], LABELS)
     assert all(r.lm_kept and r.lm_threshold is None for r in Q.classify(docs(spark), none).collect())
     assert Q.classify(no_docs(spark), none).collect() == []
+
+
+def test_all_trusted_rows_count(spark):
+    labels = spark.range(200_500).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert Q.trusted_ids(labels).count() == 200_500
