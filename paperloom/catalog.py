@@ -202,7 +202,7 @@ def visual_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """white space, formulas and delimiters."""
-    d = _t(spark, sf_dir, "documents").where(~F.contains("text", F.lit("\\")))
+    d = _t(spark, sf_dir, "documents").where("text is not null")
     x = F.col("text")
     return d.select("doc_id", F.length(text.squash(x)).cast("long").alias("squashed"), F.length(text.collapse(x)).cast("long").alias("collapsed"), text.unbalanced_dollars(x).alias("unbalanced"), F.size(text.formulas(x)).cast("long").alias("formulas"))
 
@@ -229,7 +229,6 @@ def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def failure_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes and codes of error texts."""
     e = _t(spark, sf_dir, "events").select("event_id", F.concat_ws(": ", "event_type", F.coalesce("props", F.lit(""))).alias("t"))
-    e = e.where(~F.contains(F.lower("t"), F.lit("mineru")))
     return e.select("event_id", rules.text_class(F.col("t"), "failure").alias("class"), rules.warning_code(F.col("t")).alias("code"))
 
 
@@ -333,7 +332,7 @@ _ISSUES = """
 """)
 def validated_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings, scores and gates."""
-    q = rules.validate(reviewed(spark, sf_dir).where(~F.contains("stem_latex", F.lit("\\")))).withColumn("g", rules.gate())
+    q = rules.validate(reviewed(spark, sf_dir).where("stem_latex is not null")).withColumn("g", rules.gate())
     return q.select("question_id", F.size("issues").alias("n_issues"), "overall_score", "needs_review", F.col("g.gate").alias("gate"))
 
 
@@ -342,7 +341,7 @@ def validated_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The worst questions first; the limit is the queue's."""
-    q = rules.validate(reviewed(spark, sf_dir).where(~F.contains("stem_latex", F.lit("\\"))))
+    q = rules.validate(reviewed(spark, sf_dir).where("stem_latex is not null"))
     return q.where("quality = 0 or toxic = 1").orderBy("overall_score", "question_id").limit(50).select("question_id", "overall_score")
 
 

@@ -212,3 +212,16 @@ def test_stream_equals_table(spark, tmp_path):
     new_papers.keep(stream, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).drop("batch")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, new_papers.identified(spark.createDataFrame(rows, schema)).collect()))
+
+
+def test_registered_queries_have_the_rows_their_sql_leaves_out(spark, tmp_path):
+    from paperloom import catalog
+
+    docs = [(1, r"costs \$5", "en", "src0", 9), (2, r"$\frac{1}{2}$ and $x", "en", "src0", 21), (3, "plain", "en", "src0", 5)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 0, 0) for i in (1, 2, 3)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, "MinerU", "failed")], "event_id long, event_type string, props string").write.parquet(str(tmp_path / "events.parquet"))
+    rows = lambda name: catalog.QUERIES[name](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.unbalanced for r in rows("text_features")} == {1: False, 2: True, 3: False}
+    assert {r.question_id for r in rows("validated_questions")} == {r.question_id for r in rows("review_queue")} == {1, 2, 3}
+    assert [r["class"] for r in rows("failure_classes")] == ["mineru_non_transient"]
