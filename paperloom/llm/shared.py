@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.scratch import stored
+
 #: ASCII white space; words are the runs between.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -28,3 +31,21 @@ def hash_share(key: Column, expected: int, total: int, seed: int) -> Column:
     if total <= expected:
         return F.lit(True)
     return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < F.lit(int((1 << 30) * expected / total))
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column has it (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_place(docs: DataFrame, file: str, row: str, label: str) -> DataFrame:
+    """``docs`` with each row's file (a hash) and place in it, alike at every read; frames that aren't plain
+    reads of files are written first."""
+    add = lambda d: d.withColumns({file: F.xxhash64(F.col("_metadata.file_path")), row: F.col("_metadata.row_index")})
+    try:
+        return add(docs)
+    except AnalysisException:
+        return add(stored(docs, label))

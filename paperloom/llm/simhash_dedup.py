@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.graph import components
+from paperloom.llm.graph import components, meet
+from paperloom.llm.shared import unused, with_place
 from paperloom.scratch import stored
 
 SHINGLE_WORDS = 3
@@ -80,13 +81,14 @@ def links(nodes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
 
 
 def _classes(found: DataFrame, max_distance: int) -> DataFrame:
-    """``(fp, least, component)`` of each fingerprint of ``found(doc_id, fp)``: its least doc_id, and its component's number.
+    """``(fp, n, least, component)`` of each fingerprint of ``found(doc_id, fp)``: its rows, its least doc_id, and its component's number.
 
     Fingerprints are numbered by themselves, so that texts that share a doc_id are not linked by it.
     """
-    nodes = stored(found.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("node", F.col("fp")), "simhash-nodes")
+    per_fp = found.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
+    nodes = stored(per_fp.withColumn("node", F.col("fp")), "simhash-nodes")
     label = components(links(nodes, max_distance))
-    return nodes.join(label, "node", "left").select("fp", "least", F.coalesce("label", "node").alias("component"))
+    return nodes.join(label, "node", "left").select("fp", "n", "least", F.coalesce("label", "node").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
@@ -99,21 +101,29 @@ def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFr
     """
     found = stored(fingerprints(docs), "simhash")
     classes = stored(_classes(found, max_distance), "simhash-classes")
-    named = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    sizes = classes.agg(F.count("*"), F.sum("n")).first()
+    named = classes.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("fps"))
+    told = meet(classes, named, "component", "fps", sizes[0]).select("fp", "n", "component_id")
     hex16 = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    told = classes.join(named, "component").select("fp", "component_id")
-    return found.join(told, "fp").select("doc_id", hex16.alias("fingerprint"), "component_id")
+    return meet(found, told, "fp", "n", sizes[1] or 0).select("doc_id", hex16.alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """One row of each component of ``docs``: that of the least doc_id (nulls last), then of the least hash of the text.
+    """One row of each component of ``docs``: that of the least doc_id (nulls last), then the first in place.
 
-    Of rows that agree in both, one stays.
+    Null and wordless texts are one component or part of one. Rows are told
+    apart by their file and their place in it, so that null, shared and repeated
+    ids and clashing column names do not matter. The columns of ``docs`` stay as
+    they are; an empty table gives no rows. Texts are read for their fingerprints
+    and once more for the rows that stay, and move once at most.
     """
-    found = stored(fingerprints(docs.withColumn("_text_hash", F.xxhash64("text")), more=("_text_hash",)), "simhash")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("_text_hash").alias("hash"))
-    stay = found.join(_classes(found, max_distance), "fp").groupBy("component").agg(F.min(order).alias("least"))
-    stay = stay.select(F.col("least.id").alias("_stay"), F.col("least.hash").alias("_stay_hash"))
-    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
-    same = rows["doc_id"].cast("long").eqNullSafe(stay["_stay"]) & (rows["_text_hash"] == stay["_stay_hash"])
-    return rows.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    file, row = unused(docs.columns, "sd_file"), unused(docs.columns, "sd_row")
+    placed = with_place(docs, file, row, "simhash-input")
+    slim = placed.select(F.col("doc_id"), F.col("text"), F.col(file).alias("sd_file"), F.col(row).alias("sd_row"))
+    found = stored(fingerprints(slim, more=("sd_file", "sd_row")), "simhash")
+    classes = stored(_classes(found, max_distance), "simhash-classes")
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("sd_file").alias("file"), F.col("sd_row").alias("row"))
+    known = meet(found, classes.select("fp", "n", "component"), "fp", "n", total)
+    stay = known.groupBy("component").agg(F.min(order).alias("least")).select(F.col("least.file").alias(file), F.col("least.row").alias(row))
+    return placed.join(stored(stay, "simhash-stay"), [file, row], "left_semi").select(*docs.columns)

@@ -101,9 +101,9 @@ def test_odd_rows(spark):
 
 
 def test_one_of_each(spark):
-    kept = S.one_of_each(docs(spark, clash=("_n", "fp")))
+    kept = S.one_of_each(docs(spark, clash=("_n", "fp", "sd_file", "SD_ROW", "_id", "_stay", "lm_block")))
     got = kept.collect()
-    assert kept.columns == [*docs(spark).columns, "_n", "fp"]
+    assert kept.columns == [*docs(spark).columns, "_n", "fp", "sd_file", "SD_ROW", "_id", "_stay", "lm_block"]
     ids = sorted((r.doc_id for r in got), key=lambda x: (x is None, x))
     want = plain_components({r[0]: plain_fingerprint(r[1]) for r in odd_docs() if r[0] is not None})
     assert ids == sorted(set(want.values())) + [None]
@@ -121,3 +121,25 @@ def test_texts_without_or_with_a_shared_id_stay(spark):
     rows = [(None, a, "en", "a", 0), (None, b, "en", "a", 0), (None, b, "en", "b", 0), (1, c, "en", "a", 0), (1, d, "en", "a", 0), (None, c, "en", "a", 0)]
     got = [(r.doc_id, r.text) for r in S.one_of_each(docs(spark, rows)).collect()]
     assert sorted(got, key=str) == sorted([(None, a), (None, b), (1, c), (1, d)], key=str)
+
+
+def test_one_row_of_each_component_whatever_the_ids(spark):
+    """Against brute force: the number of rows is that of the components of the rows' fingerprints."""
+    rng = random.Random(12)
+    rows = [(rng.choice((None, None, 5, i)), t, "en", "a", 0) for i, t in enumerate([r[1] for r in near_rows()] + [prose(i, 60) for i in range(300, 312)] * 2 + [None, "", None])]
+    label = plain_components({n: plain_fingerprint(r[1]) for n, r in enumerate(rows)})
+    got = S.one_of_each(docs(spark, rows).repartition(5)).collect()
+    assert len(got) == len(set(label.values()))
+    of_text = {r[1]: label[n] for n, r in enumerate(rows)}
+    assert sorted(of_text[r.text] for r in got) == sorted(set(label.values()))
+    for r in got:
+        ids = [x[0] for n, x in enumerate(rows) if label[n] == of_text[r.text] and x[0] is not None]
+        assert r.doc_id == (min(ids) if ids else None)
+    assert S.one_of_each(no_docs(spark)).collect() == []
+
+
+def test_hubs_are_met_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(graph, "LEAST_HUB", 3)
+    edges = [(0, i) for i in range(1, 200)] + [(i, i + 1000) for i in range(1, 200)] + [(5000 + i, 5001 + i) for i in range(9)]
+    got = {r.node: r.label for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{n: 0 for i in range(1, 200) for n in (i, i + 1000)}, **{5001 + i: 5000 for i in range(9)}}
