@@ -2,104 +2,183 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.shared import words_of
+from paperloom.llm.shared import unused, words_of
 from paperloom.scratch import stored
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_COPIES = 2
-#: Rows of one source whose ranks are settled together; a source has as many bins as its rows need.
-BIN_ROWS = 2_000
 _SEED = 8
+#: The rank's bits that are settled in one pass, and the passes over the rank and over its ties.
+DIGIT_BITS, RANK_DIGITS, TIE_DIGITS = 16, 3, 2
+_RANK_BITS = DIGIT_BITS * RANK_DIGITS
+_ROW = {"source": "source", "size": "size", "u": "u", "tie": "tie"}
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """``(doc_id, source, size, u)``: words of each text (null: 0) and a repeatable random number in (0, 1)."""
-    noise = F.shiftrightunsigned(F.xxhash64(F.lit(_SEED), "doc_id", "text"), 11)
-    u = (noise.cast("double") + 0.5) / float(1 << 53)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.size(words_of(F.col("text"))).cast("long").alias("size"), u.alias("u"))
-
+def _low_bits(number: Column) -> Column:
+    return number.bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
 
-def targets(by_source: list[tuple[str | None, int]], weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> dict[str | None, float]:
-    """Words to take from each source, given ``(source, size)``.
 
-    Sources in order of code points, null last, get the weights in turn.
-    No target is above ``most`` times its source's size: the excess goes to
-    the others by weight until none is above.
+def _rows(docs: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``docs`` with each row's source, size in words (null text: 0), repeatable random number in (0, 1) and a
+    number for ties, under ``names``."""
+    noise = F.shiftrightunsigned(F.xxhash64(F.lit(_SEED), "doc_id", "text"), 11)
+    return docs.withColumns({
+        names["source"]: F.col("source").cast("string"),
+        names["size"]: F.size(words_of(F.col("text"))).cast("long"),
+        names["u"]: (noise.cast("double") + 0.5) / float(1 << 53),
+        # Rows that agree in id and text are told apart by where they are written; which of them is taken can't be seen.
+        names["tie"]: F.shiftleft(_low_bits(F.xxhash64(F.lit(_SEED + 1), "doc_id", "text")), DIGIT_BITS).bitwiseOR(_low_bits(F.xxhash64(F.monotonically_increasing_id()))),
+    })
+
+
+def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> DataFrame:
+    """``(source, source_size, target)`` for ``sizes(source, source_size)``, one row for each source.
+
+    Sources in order of code points, null last, get the weights in turn and
+    share ``share`` of all words. No target is above ``most`` times its source's
+    size: the excess goes to the others by weight until none is above. The
+    sources that stay below are those whose size by weight is above a common
+    level, found over the sources in order of that ratio. Sources, not rows, meet in one task.
+    """
+    place = F.row_number().over(Window.orderBy(F.col("source").isNull(), "source")) - 1
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int"))
+    rows = sizes.withColumn("w", weight).withColumn("cap", most * F.col("source_size").cast("double"))
+    by_ratio = Window.orderBy(F.col("cap") / F.col("w"), "source")
+    all_rows, before = by_ratio.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing), by_ratio.rowsBetween(Window.unboundedPreceding, -1)
+    full = F.coalesce(F.sum("cap").over(before), F.lit(0.0))
+    rest = F.sum("w").over(all_rows) - F.coalesce(F.sum("w").over(before), F.lit(0.0))
+    # The level if this source and those after it were below; it rises with every source that is full.
+    rows = rows.withColumn("level", (share * F.sum("source_size").over(all_rows) - full) / rest)
+    level = F.first(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level")), True).over(all_rows)
+    return rows.withColumn("top", level).select("source", "source_size", F.coalesce(F.least("cap", F.col("top") * F.col("w")), F.col("cap")).alias("target"))
+
+
+def _odds(rows: DataFrame, per_source: DataFrame, most: int) -> DataFrame:
+    """``per_source(source, source_size, target)`` with ``whole``, ``rest`` and ``unit``.
+
+    Every row is taken ``whole`` times; ``rest`` words are sampled, a row of s
+    words with probability min(1, unit * s). ``unit`` makes the expected words
+    ``rest``: rows longer than 1 / unit are certain, and are found over the
+    distinct sizes of each source, largest first.
     """
-    ordered = sorted(by_source, key=lambda s: (s[0] is None, s[0] or ""))
-    weight = {s: weights[i % len(weights)] for i, (s, _) in enumerate(ordered)}
-    size = {s: n for s, n in ordered}
-    left, open_, found = share * sum(size.values()), [s for s, _ in ordered], {}
-    while open_:
-        unit = left / sum(weight[s] for s in open_)
-        full = [s for s in open_ if weight[s] * unit > most * size[s]]
-        if not full:
-            return found | {s: weight[s] * unit for s in open_}
-        for s in full:
-            found[s] = float(most * size[s])
-            left -= found[s]
-        open_ = [s for s in open_ if s not in full]
-    return found
+    size = F.col("source_size")
+    whole = F.when(size > 0, F.least(F.floor(F.col("target") / F.greatest(size, F.lit(1)) + 1e-12), F.lit(most))).otherwise(0).cast("int")
+    goal = per_source.withColumn("whole", whole).withColumn("rest", F.greatest(F.col("target") - F.col("whole") * size, F.lit(0.0)))
+    kinds = rows.where("size > 0").groupBy("source", "size").agg(F.count("*").alias("n"))
+    kinds = kinds.join(goal.select(F.col("source").alias("gs"), "rest"), F.col("source").eqNullSafe(F.col("gs"))).drop("gs")
+    down = Window.partitionBy("source").orderBy(F.desc("size"))
+    n, s = F.col("n").cast("double"), F.col("size").cast("double")
+    longer = F.coalesce(F.sum(n * s).over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    squares = F.sum(n * s * s).over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    kinds = kinds.withColumn("unit", (F.col("rest") - longer) / squares).where(F.col("unit") * s <= 1)
+    unit = kinds.groupBy("source").agg(F.max_by("unit", "size").alias("unit")).select(F.col("source").alias("us"), "unit")
+    joined = goal.join(unit, F.col("source").eqNullSafe(F.col("us")), "left").drop("us")
+    return joined.withColumn("unit", F.greatest(F.coalesce("unit", F.lit(0.0)), F.lit(0.0)))
+
+
+def _rank(size: Column, u: Column, unit: Column) -> Column:
+    """The Pareto ratio r = odds(u) / odds(inclusion) as r / (1 + r), in whole units: 0 for certain rows."""
+    p = F.least(F.greatest(unit * size, F.lit(1e-15)), F.lit(1.0))
+    t = u * (1 - p) / (u * (1 - p) + p * (1 - u))
+    return F.least((t * float(1 << _RANK_BITS)).cast("long"), F.lit((1 << _RANK_BITS) - 1))
+
+
+def _digit(at: int) -> Column:
+    """The digit of a row's rank, or of its ties' number, that pass ``at`` settles."""
+    key, left = ("rank", RANK_DIGITS - 1 - at) if at < RANK_DIGITS else ("tie", RANK_DIGITS + TIE_DIGITS - 1 - at)
+    return _low_bits(F.shiftright(key, DIGIT_BITS * left))
+
+
+def _cuts(ranked: DataFrame, plan: DataFrame) -> DataFrame:
+    """``plan`` with ``cut_rank`` and ``cut_tie``: rows of lower (rank, tie) are sampled, others are not.
+
+    In order of rank, a row is sampled if the words before it and half its own
+    fit into ``rest``. The passes narrow down where the words reach ``rest``, a
+    digit of the rank at a time, by a histogram of the words; the rows of the
+    last cell are taken in order.
+    """
+    ranked = ranked.where("size > 0")
+    state = stored(plan.select("source", "rest").withColumns({"before": F.lit(0).cast("long"), "path": F.array().cast("array<long>")}), "mix-state")
+    def here(at: int) -> DataFrame:
+        met = ranked.join(state.withColumnRenamed("source", "ss"), F.col("source").eqNullSafe(F.col("ss"))).drop("ss")
+        return met.where(F.array(*[_digit(i) for i in range(at)]) == F.col("path")) if at else met
+
+    for at in range(RANK_DIGITS + TIE_DIGITS):
+        cells = here(at).groupBy("source", _digit(at).alias("d")).agg(F.sum("size").alias("words"), F.first("rest").alias("rest"), F.first("before").alias("before"), F.first("path").alias("path"))
+        up = Window.partitionBy("source").orderBy("d").rowsBetween(Window.unboundedPreceding, -1)
+        cells = cells.withColumn("start", F.col("before") + F.coalesce(F.sum("words").over(up), F.lit(0)))
+        # The cell in which the words pass the rest; a source without one is taken whole.
+        found = cells.where((F.col("start") <= F.col("rest")) & (F.col("rest") < F.col("start") + F.col("words")))
+        state = stored(found.select("source", "rest", F.col("start").alias("before"), F.array_append("path", F.col("d")).alias("path")), "mix-state")
+    order = Window.partitionBy("source").orderBy("rank", "tie", "size").rowsBetween(Window.unboundedPreceding, -1)
+    last = here(RANK_DIGITS + TIE_DIGITS).withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
+    last = last.groupBy("source").agg(F.min("rank").alias("cell_rank"), F.min("tie").alias("cell_tie"), F.count_if(F.col("start") + F.col("size") / 2 <= F.col("rest")).alias("more"))
+    last = last.select(F.col("source").alias("ls"), "cell_rank", "cell_tie", "more")
+    joined = plan.join(last, F.col("source").eqNullSafe(F.col("ls")), "left").drop("ls")
+    # No more than one row of a cell can be the last to fit: a cell's rows agree in rank and tie.
+    everything = F.lit(1 << _RANK_BITS)
+    return joined.select(
+        "*", F.when(F.col("rest") <= 0, -1).otherwise(F.coalesce("cell_rank", everything)).cast("long").alias("cut_rank"),
+        F.coalesce("cell_tie", F.lit(0)).alias("cut_tie"), F.coalesce("more", F.lit(0)).alias("cut_more"),
+    )
+
+
+def _copied(placed: DataFrame, names: dict[str, str], copies: str, weights: tuple[int, ...], share: float, most: int) -> DataFrame:
+    """``placed`` (a written table) with ``source_size``, ``target`` and the number of ``copies`` under these names."""
+    slim = placed.select(*[F.col(c).alias(k) for k, c in names.items() if k in _ROW])
+    by_source = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
+    plan = stored(_odds(slim, targets(by_source, weights, share, most), most), "mix-plan")
+    told = plan.select(F.col("source").alias("ps"), "unit")
+    ranked = slim.join(told, F.col("source").eqNullSafe(F.col("ps"))).select("source", "size", "tie", _rank(F.col("size"), F.col("u"), F.col("unit")).alias("rank"))
+    cuts = stored(_cuts(ranked, plan), "mix-cuts")
+    fields = F.struct("source_size", "target", "whole", "unit", "cut_rank", "cut_tie", "cut_more")
+    joined = placed.join(cuts.select(F.col("source").alias(names["ps"]), fields.alias(names["plan"])), F.col(names["source"]).eqNullSafe(F.col(names["ps"]))).drop(names["ps"])
+    p, size = F.col(names["plan"]), F.col(names["size"])
+    rank = _rank(size, F.col(names["u"]), p["unit"])
+    first = F.struct(rank, F.col(names["tie"])) < F.struct(p["cut_rank"], p["cut_tie"])
+    at_cut = (rank == p["cut_rank"]) & (F.col(names["tie"]) == p["cut_tie"]) & (p["cut_more"] > 0)
+    extra = (size > 0) & (first | at_cut)
+    return joined.withColumn(copies, p["whole"] + F.when(extra & (p["whole"] < most), 1).otherwise(0))
+
+
+def _names(columns: list[str]) -> dict[str, str]:
+    return {k: unused(columns, f"mix_{k}") for k in (*_ROW, "ps", "plan", "copies")}
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES) -> DataFrame:
     """``(doc_id, size, source_size, target, taken, copies)`` of every row of ``docs(doc_id, text, source)``.
 
-    Every document of a source is taken as many whole times as the source's
-    target holds its size. What is left of the target is filled by Pareto order
-    sampling: documents rank by the odds of their random number over the odds
-    of their inclusion probability, and those first in rank are taken once more
-    until the source has its words. The last one is taken if that comes nearer.
+    Every document of a source is taken as many certain whole times as the
+    source's target holds its size. What is left is sampled with unequal odds: a
+    document's inclusion probability is its share of what is left by length
+    (``unit`` times its words), so that longer ones are likelier and those that
+    reach one are certain. Documents rank by the odds of a random number over
+    the odds of their inclusion (Pareto order sampling), and the first ones in
+    rank are taken once more. The sample's fixed size is in words, the unit of the targets:
+    it ends where the next document would miss the target by more than stopping does.
 
     A source's words therefore miss its target by half of one document's size
-    at most. Repeated rows share their rank's random number and are counted
-    one by one; equal ranks are settled by doc_id and size. Texts without words
-    have size 0 and are taken with whole copies only. A null source is a source.
+    at most. A null source is a source. Null and wordless texts have size 0 and
+    are taken with whole copies only. Repeated rows are counted one by one. Other
+    columns are ignored; an empty table gives no rows; reruns agree.
     """
-    rows = stored(sizes(docs), "mix-sizes")
-    summed = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
-    goal = targets([(r["source"], r["size"]) for r in summed], weights, share, most)
-    plan = []
-    for r in summed:
-        whole = min(int(goal[r["source"]] / r["size"] + 1e-12), most) if r["size"] else 0
-        rest = max(goal[r["source"]] - whole * r["size"], 0.0)
-        chance = min(max(rest / r["size"], 1e-12), 1 - 1e-12) if r["size"] else 0.5
-        plan.append((r["source"], r["size"], goal[r["source"]], whole, rest, chance, max(1, r["n"] // BIN_ROWS)))
-    spark = docs.sparkSession
-    known = spark.createDataFrame(plan, "s string, source_size long, target double, whole int, rest double, chance double, bins long")
-    joined = rows.join(F.broadcast(known), rows["source"].eqNullSafe(known["s"])).drop("s")
-    ratio = (F.col("u") / (1 - F.col("u"))) / (F.col("chance") / (1 - F.col("chance")))
-    # Equal chances within a source keep the ratio's order equal to that of u, which fills the bins evenly.
-    ranked = joined.withColumn("ratio", ratio).withColumn("bin", F.least((F.col("u") * F.col("bins")).cast("long"), F.col("bins") - 1))
-    ranked = ranked.withColumn("tie", F.xxhash64("source"))
-    per_bin = ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"))
-    # Groups of bins bound what one window task gathers, however large a source is.
-    per_bin = per_bin.withColumn("group", F.floor(F.col("bin") / BIN_ROWS))
-    per_group = per_bin.groupBy("source", "group").agg(F.sum("words").alias("words"))
-    ahead = Window.partitionBy("source").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    per_group = per_group.select(F.col("source").alias("gs"), F.col("group").alias("gg"), F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("before_group"))
-    within = Window.partitionBy("source", "group").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    before = per_bin.withColumn("before_bin", F.coalesce(F.sum("words").over(within), F.lit(0)))
-    before = before.join(per_group, before["source"].eqNullSafe(per_group["gs"]) & (before["group"] == per_group["gg"]))
-    before = before.select(F.col("source").alias("bs"), F.col("bin").alias("bb"), (F.col("before_bin") + F.col("before_group")).alias("before"))
-    placed = ranked.join(before, ranked["source"].eqNullSafe(before["bs"]) & (ranked["bin"] == before["bb"]))
-    order = Window.partitionBy("source", "bin").orderBy("ratio", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
-    extra = (F.col("size") > 0) & (start + F.col("size") / 2 <= F.col("rest"))
-    copies = F.col("whole") + F.when(extra & (F.col("whole") < most), 1).otherwise(0)
-    return placed.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"), copies.cast("int").alias("copies"))
-
-
-def materialize(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every row as often as the mix takes it; columns stay as they are.
-
-    Rows that share a doc_id share the copies of the one taken most.
+    names = _names([])
+    slim = _rows(docs.select("doc_id", "text", "source"), names).select(F.col("doc_id").cast("long").alias("doc_id"), *[names[k] for k in _ROW])
+    done = _copied(stored(slim, "mix-rows"), names, names["copies"], weights, share, most)
+    size, n, p = F.col(names["size"]), F.col(names["copies"]), F.col(names["plan"])
+    return done.select("doc_id", size.alias("size"), p["source_size"].alias("source_size"), p["target"].alias("target"), (n * size).cast("long").alias("taken"), n.cast("int").alias("copies"))
+
+
+def materialize(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES) -> DataFrame:
+    """``docs`` with every row as often as ``mix`` takes it, row by row: null and shared ids do not matter.
+
+    Columns stay as they are, whatever their names; the rows are written once, with their numbers, and not moved otherwise.
     """
-    counted = mix(docs, **options).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_n"))
-    counted = counted.select(F.col("doc_id").alias("_id"), "_n")
-    kept = docs.join(counted, docs["doc_id"].eqNullSafe(counted["_id"]))
-    return kept.withColumn("_n", F.explode(F.sequence(F.lit(1), "_n"))).select(*docs.columns)
+    names = _names(docs.columns)
+    done = _copied(stored(_rows(docs, names), "mix-rows"), names, names["copies"], weights, share, most)
+    n = names["copies"]
+    return done.where(F.col(n) > 0).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))).select(*docs.columns)
