@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.shared import hash_share
+from paperloom.scratch import stored
 
 #: Fixed rules: kind, pattern, the group whose length counts, its least length; in the order of the kinds.
 RULES = (
@@ -23,9 +24,10 @@ RULES = (
 #: A rule is tried only on texts that hold one of these (in lower case where the rule ignores case).
 _HINTS = (("passw", "secret", "token", "apikey", "api_key"), ("AKIA",))
 MODEL_KIND = "model"
-#: What the network judges: runs of key characters with a digit and a letter.
-_DIGIT = re.compile(r"[0-9]")
-_CANDIDATE = re.compile(r"(?a)(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])(?=[0-9+/_.=-]*[A-Za-z])[A-Za-z0-9+/_.=-]{16,}")
+#: What the network judges: runs of key characters with a digit, or with a small letter before a capital one.
+#: Other runs are words, or words joined by signs, in one case.
+_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+_MIXED = re.compile(r"[0-9]|[a-z][A-Z]")
 #: Characters taken from before, from the start of, and from after a candidate.
 BEFORE, INSIDE, AFTER = 24, 48, 8
 #: Characters from one piece of a longer candidate to the next.
@@ -33,7 +35,9 @@ STRIDE = 16
 _WIDE, _FILTERS, _CLASSES = 5, 24, 98
 #: Documents and candidates that the network is trained on, at most (documents about).
 TRAIN_DOCS, TRAIN_CANDIDATES = 20_000, 1_500
-RECALL = 0.95
+#: Made-up findings of each label that are added.
+MADE_UP = 4_000
+RECALL = 0.99
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -50,9 +54,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """Spans that may be secrets, whether a rule finds them or not."""
-    if not _DIGIT.search(text):
-        return []
-    return [m.span() for m in _CANDIDATE.finditer(text)]
+    return [m.span() for m in _RUN.finditer(text) if _MIXED.search(m[0])]
 
 
 def pieces(start: int, end: int) -> list[tuple[int, int]]:
@@ -61,9 +63,14 @@ def pieces(start: int, end: int) -> list[tuple[int, int]]:
     return [(a, min(a + INSIDE, end)) for a in firsts]
 
 
-def window(text: str, start: int, end: int) -> np.ndarray:
-    """Character classes of a candidate and its surroundings; 0 where there is no character."""
-    parts = ((text[max(0, start - BEFORE) : start], BEFORE, True), (text[start : min(end, start + INSIDE)], INSIDE, False), (text[end : end + AFTER], AFTER, False))
+def window(text: str, start: int, end: int, left: int | None = None) -> np.ndarray:
+    """Character classes of a candidate and its surroundings; 0 where there is no character.
+
+    What precedes the candidate is read before ``left``, where that is given:
+    a rule's own words stay out.
+    """
+    left = start if left is None else min(left, start)
+    parts = ((text[max(0, left - BEFORE) : left], BEFORE, True), (text[start : min(end, start + INSIDE)], INSIDE, False), (text[end : end + AFTER], AFTER, False))
     out = np.zeros(BEFORE + INSIDE + AFTER, np.int16)
     at = 0
     for part, size, right in parts:
@@ -153,42 +160,94 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 6, epochs: int = 12, recall:
     return net
 
 
-def made_up_findings(seed: int = 6, n: int = 400) -> tuple[np.ndarray, np.ndarray]:
-    """Labelled windows from a generator: keys of common shapes, and long runs that are none."""
+_LOW, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+_MIX = _LOW + _LOW.upper() + _DIGITS
+
+
+def _some(rng: random.Random, chars: str, least: int, most: int = 0) -> str:
+    return "".join(rng.choice(chars) for _ in range(rng.randint(least, max(least, most))))
+
+
+def _word(rng: random.Random) -> str:
+    """A pronounceable word."""
+    return "".join(rng.choice("bcdfghlmnprstvw") + rng.choice("aeiou") + rng.choice(("", "", "n", "r", "s")) for _ in range(rng.randint(1, 4)))
+
+
+#: Shapes of keys that are made up for training.
+KEYS = {
+    "hex": lambda r: _some(r, _DIGITS + "abcdef", 16, 64),
+    "capital hex": lambda r: _some(r, _DIGITS + "ABCDEF", 16, 64),
+    "cloud access": lambda r: r.choice(("AKIA", "ASIA")) + _some(r, _LOW.upper() + _DIGITS, 16),
+    "mixed": lambda r: _some(r, _MIX, 16, 44),
+    "live key": lambda r: r.choice(("sk_live_", "pk_test_", "rk_live_")) + _some(r, _MIX, 24, 32),
+    "repository token": lambda r: r.choice(("ghp_", "gho_", "glpat-", "npm_")) + _some(r, _MIX, 20, 40),
+    "chat token": lambda r: r.choice(("xoxb-", "xoxp-")) + "-".join(_some(r, _DIGITS, 10, 12) for _ in range(2)) + "-" + _some(r, _MIX, 24),
+    "base64": lambda r: _some(r, _MIX + "+/", 24, 60) + r.choice(("", "=", "==")),
+    "web token": lambda r: "eyJ" + ".".join(_some(r, _MIX + "_-", 18, 60) for _ in range(3)),
+    "map key": lambda r: "AIza" + _some(r, _MIX + "_-", 35),
+    "base32": lambda r: _some(r, _LOW.upper() + "234567", 16, 32),
+    "small letters and digits": lambda r: _some(r, _LOW + _DIGITS, 20, 40),
+}
+#: Shapes of long runs that are none.
+PLAIN = {
+    "host": lambda r: ".".join(_word(r) for _ in range(r.randint(1, 3))) + f"{r.randint(1, 99)}." + r.choice(("example.org", "example.com", "net")),
+    "path": lambda r: "/".join(_word(r) for _ in range(r.randint(2, 5))) + r.choice((f"/{r.randint(1, 2030)}", f"/v{r.randint(1, 9)}/{_word(r)}", f"{r.randint(1, 99)}.html")),
+    "slug": lambda r: "-".join(_word(r) for _ in range(r.randint(2, 5))) + f"-{r.randint(1, 2030)}",
+    "date": lambda r: f"{r.randint(1900, 2099)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}" + r.choice(("T", "_", "-")) + f"{r.randint(0, 23):02d}.{r.randint(0, 59):02d}.{r.randint(0, 59):02d}" + r.choice(("", "Z")),
+    "file": lambda r: "_".join(_word(r) for _ in range(r.randint(2, 4))) + f"{r.randint(1, 99)}." + r.choice(("txt", "png", "tar.gz", "jpeg")),
+    "number": lambda r: _some(r, _DIGITS, 12, 20),
+    "grouped number": lambda r: "-".join(_some(r, _DIGITS, 3, 5) for _ in range(r.randint(3, 5))),
+    "decimal": lambda r: f"{r.randint(0, 99999)}.{_some(r, _DIGITS, 8, 16)}",
+    "address": lambda r: ".".join(str(r.randint(100, 255)) for _ in range(4)),
+    "camel case": lambda r: _word(r) + "".join(_word(r).capitalize() for _ in range(r.randint(2, 4))) + r.choice(("", str(r.randint(1, 9)))),
+    "constant": lambda r: "_".join(_word(r).upper() for _ in range(r.randint(2, 4))) + f"_{r.randint(1, 99)}",
+    "joined words": lambda r: "".join(_word(r) for _ in range(r.randint(3, 5))) + str(r.randint(1, 2030)),
+    "split word": lambda r: _word(r) + r.choice((".", "-")) + _word(r).capitalize() + _word(r) + r.choice(("", ".")),
+    "article": lambda r: r.choice(("ABC", "SN", "REF", "No")) + "-" + _some(r, _DIGITS, 4, 6) + "-" + _some(r, _DIGITS, 2, 4),
+}
+
+
+def made_up(kinds: dict, label: int, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Labelled windows of made-up runs of these shapes, among made-up words."""
     rng = random.Random(seed)
-    pick = lambda chars, k: "".join(rng.choice(chars) for _ in range(k))
-    low, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
-    mixed = low + low.upper() + digits
-    keys = [lambda: pick(digits + "abcdef", rng.choice((32, 40, 64))), lambda: "AKIA" + pick(low.upper() + digits, 16), lambda: pick(mixed, rng.randint(20, 44)), lambda: "sk_live_" + pick(mixed, 24), lambda: pick(mixed + "+/", 40)]
-    word = lambda: pick(low, rng.randint(2, 9))
-    plain = [lambda: f"{word()}.{word()}{rng.randint(1, 99)}.example.org/{word()}", lambda: f"{word()}-{word()}-{word()}-{rng.randint(1, 999)}", lambda: f"20{rng.randint(10, 29)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}T1{rng.randint(0, 9)}.00.00Z", lambda: f"{word()}_{word()}_{word()}{rng.randint(1, 9)}.txt", lambda: word() * 3 + pick(digits, 2) + word()]
-    xs, ys = [], []
-    for label, makers in ((1, keys), (0, plain)):
-        for _ in range(n):
-            body = rng.choice(makers)()
-            before = " ".join(word() for _ in range(4)) + rng.choice((" ", " key ", ' = "', ": "))
-            text = f"{before}{body} {word()} {word()}"
-            xs.append(window(text, len(before), len(before) + len(body)))
-            ys.append(label)
-    return np.array(xs), np.array(ys)
+    xs = []
+    for i in range(n):
+        body = list(kinds.values())[i % len(kinds)](rng)
+        before = " ".join(_word(rng) for _ in range(4)) + rng.choice((" ", " ", " ", "\n", ' "', ' = "', ": ", "key "))
+        text = f"{before}{body}{rng.choice((' ', ' ', ', ', chr(34) + ' '))}{_word(rng)} {_word(rng)}"
+        for a, b in pieces(len(before), len(before) + len(body))[:1]:
+            xs.append(window(text, a, b))
+    return np.array(xs), np.full(n, label)
+
+
+def made_up_findings(seed: int = 6, n: int = MADE_UP, leave_out: tuple[str, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Labelled windows of made-up keys, without the shapes ``leave_out``, and of long runs that are none."""
+    x, y = made_up({k: f for k, f in KEYS.items() if k not in leave_out}, 1, n, seed)
+    other, zero = made_up(PLAIN, 0, n, seed + 1)
+    return np.concatenate([x, other]), np.concatenate([y, zero])
+
+
+def _labelled(text: str) -> list[tuple[bytes, int]]:
+    """Windows and labels of a text's candidates; what a rule finds is a secret, and the words it goes by are hidden."""
+    base = base_spans(text)
+    out = []
+    for whole in candidates(text):
+        for a, b in pieces(*whole):
+            hit = [s for s, _, e in base if s < b and a < e]
+            out.append((window(text, a, b, min(hit, default=None)).tobytes(), int(bool(hit))))
+    return out
 
 
 def labelled_findings(docs: DataFrame, bound: int = TRAIN_DOCS, most: int = TRAIN_CANDIDATES) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of candidates from about ``bound`` documents, ``most`` of each label; a rule's finding is a secret."""
+    """Distinct windows of candidates from about ``bound`` documents, ``most`` of each label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            xs, ys = [], []
-            for value in batch.column("text"):
-                text = value.as_py() or ""
-                spans = [s for c in candidates(text) for s in pieces(*c)]
-                base = base_spans(text) if spans else []
-                xs += [window(text, a, b).tobytes() for a, b in spans]
-                ys += [int(any(s < b and a < e for s, _, e in base)) for a, b in spans]
-            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.int32())], ["x", "y"])
+            found = [w for value in batch.column("text") for w in _labelled(value.as_py() or "")]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.int32())], ["x", "y"])
 
     chosen = docs.select("text").where(hash_share(F.xxhash64("doc_id", "text"), bound, docs.count(), 6))
-    found = chosen.mapInArrow(run, "x binary, y int").distinct()
+    found = stored(chosen.mapInArrow(run, "x binary, y int").distinct(), "secret-findings")
     rows = [r for y in (0, 1) for r in found.where(F.col("y") == y).orderBy(F.xxhash64("x"), "x").limit(most).collect()]
     if not rows:
         return np.zeros((0, BEFORE + INSIDE + AFTER), np.int16), np.zeros(0, int)
@@ -196,7 +255,8 @@ def labelled_findings(docs: DataFrame, bound: int = TRAIN_DOCS, most: int = TRAI
 
 
 def fit(docs: DataFrame) -> CharNetwork:
-    """The network for these documents; made-up findings are added to theirs, so that it never lacks either label."""
+    """The network for these documents; made-up findings are added to theirs, so that it never lacks either label
+    and knows keys of other shapes than the rules'."""
     x, y = labelled_findings(docs)
     more, marks = made_up_findings()
     return train(np.concatenate([x, more]), np.concatenate([y, marks]))

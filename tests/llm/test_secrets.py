@@ -88,3 +88,37 @@ def test_key_at_the_end_of_a_long_run(net):
     for n in (16, 48, 49, 64, 65, 300):
         spans = S.pieces(5, 5 + n)
         assert {i for a, b in spans for i in range(a, b)} == set(range(5, 5 + n)) and all(b - a <= S.INSIDE for a, b in spans)
+
+
+@pytest.mark.parametrize("kinds", [("repository token", "map key"), ("live key", "chat token", "base32"), ("web token", "capital hex")])
+def test_kinds_of_keys_that_were_held_out(kinds):
+    net = S.train(*S.made_up_findings(leave_out=kinds))
+    for k in kinds:
+        x, _ = S.made_up({k: S.KEYS[k]}, 1, 200, 77)
+        assert (net.probability(x) >= net.threshold).mean() >= 0.9, k
+
+
+def test_rules_words_are_hidden_from_the_network():
+    text = f'one two token = "{HEX}" three'
+    (x, y), *_ = S._labelled(text)
+    assert y == 1 and x == S.window(f"one two {HEX}\" three", 8, 8 + len(HEX)).tobytes()
+
+
+def test_planted_keys_that_no_rule_finds(spark):
+    """Recall on planted keys, and precision on the addresses, paths and words of ordinary documents."""
+    import random
+
+    rng = random.Random(4)
+    rows, planted, plain = [], {}, 0
+    for i in range(300):
+        before, after = prose(i, 30), prose(i + 1000, 30)
+        kind = sorted(S.KEYS)[i % len(S.KEYS)]
+        body = S.KEYS[kind](rng) if i % 3 == 0 else S.PLAIN[sorted(S.PLAIN)[i % len(S.PLAIN)]](rng)
+        rows.append((i, f"{before} {body} {after}", "en", "a", 0))
+        if i % 3 == 0 and not S.base_spans(rows[-1][1]):
+            planted[i] = (len(before) + 1, len(before) + 1 + len(body))
+    rows += [(900, f'token = "{HEX}" and write to me.34@mail7.example.com or https://a.example.org/b/c2024/index7.html', "en", "a", 0)]
+    got = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("model:")] for r in S.report(docs(spark, rows)).collect()}
+    caught = sum(f"model:{a}:{b}" in got[i] for i, (a, b) in planted.items())
+    assert len(planted) > 40 and caught >= 0.9 * len(planted)
+    assert sum(bool(got[i]) for i in range(300) if i % 3) <= 2 and not got[900]
