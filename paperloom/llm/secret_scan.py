@@ -255,11 +255,18 @@ def labelled_findings(docs: DataFrame, bound: int = TRAIN_DOCS, most: int = TRAI
 
 
 def fit(docs: DataFrame) -> CharNetwork:
-    """The network for these documents; made-up findings are added to theirs, so that it never lacks either label
-    and knows keys of other shapes than the rules'."""
+    """The network for these documents.
+
+    Made-up findings are added to theirs, so that it never lacks either label
+    and knows keys of other shapes than the rules'. A candidate that no rule
+    finds isn't thereby harmless: a first network, which has not seen those,
+    sorts out the ones that look like keys, and only the others count as harmless.
+    """
     x, y = labelled_findings(docs)
     more, marks = made_up_findings()
-    return train(np.concatenate([x, more]), np.concatenate([y, marks]))
+    first = train(np.concatenate([x[y == 1], more]), np.concatenate([y[y == 1], marks]))
+    sure = (y == 1) | (first.probability(x) < first.threshold)
+    return train(np.concatenate([x[sure], more]), np.concatenate([y[sure], marks]))
 
 
 def scan_text(text: str | None, net: CharNetwork) -> list[tuple[int, int, str]]:
