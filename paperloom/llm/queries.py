@@ -79,16 +79,16 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "op10_topk_search": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
             WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), s AS (
-            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+            SELECT q.vec_id AS query_id, q.n AS n, c.vec_id AS vec_id,
                    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            FROM v q JOIN v c ON q.n <> c.n
             WHERE q.vec_id % 50 = 0
         )
-        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM s QUALIFY rank <= 5
     """,
 }
