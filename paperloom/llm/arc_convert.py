@@ -4,22 +4,27 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import uuid
 from base64 import b32decode, b32encode
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.llm.shared import unused, with_place
 from paperloom.scratch import scratch_path
 
 #: Payloads of fewer bytes are never recorded as revisits.
 LEAST_REVISIT = 1000
-#: Records that one archive file holds at most; a file is read whole by one task.
-FILE_RECORDS = 4_000
+#: Bytes of an archive file, which one task reads whole; a record that is larger has a file of its own.
+FILE_BYTES = 32 << 20
+#: What Spark's text files put after each value. After a gzip member, a zero byte is padding, which readers skip.
+_PADDING = "\0"
 
 #: Fields of a record's header line, for each version that a file's first record may name.
 FIELDS = {
@@ -90,7 +95,7 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
 
 
 def record_id(url: str, date: str, body_digest: str, key: str = "") -> str:
-    """A WARC identifier that only depends on the record, so that a repeated run gives the same."""
+    """A WARC identifier that only depends on the record and its ``key``, so that a repeated run gives the same."""
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join((url, date, body_digest, key)))}>"
 
 
@@ -114,7 +119,7 @@ def payload_of(body: bytes) -> tuple[bytes, bytes]:
     return b"", body
 
 
-def to_warc(record: ArcRecord, extra: dict[str, str], refers_to: dict[str, str] | None = None) -> bytes:
+def to_warc(record: ArcRecord, extra: dict[str, str], refers_to: dict[str, str] | None = None, key: str = "") -> bytes:
     """The WARC record of an ARC record, without the two line ends that follow it.
 
     With ``refers_to`` (WARC header fields of the record it repeats) it is a
@@ -126,7 +131,7 @@ def to_warc(record: ArcRecord, extra: dict[str, str], refers_to: dict[str, str]
     kind = "revisit" if refers_to is not None else "response" if head else "resource"
     fields = {
         "WARC-Type": kind,
-        "WARC-Record-ID": record_id(record.fields["url"], record.fields["date"], digest.hex(), extra.get("X-Page-Id", "")),
+        "WARC-Record-ID": record_id(record.fields["url"], record.fields["date"], digest.hex(), key),
         "WARC-Date": warc_date(record.fields["date"]),
         "WARC-Target-URI": record.fields["url"],
         "WARC-IP-Address": record.fields["ip"],
@@ -141,21 +146,21 @@ def to_warc(record: ArcRecord, extra: dict[str, str], refers_to: dict[str, str]
     return b"WARC/1.1\r\n" + lines.encode("utf-8", "surrogateescape") + b"\r\n" + block
 
 
-def read_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields, block) of each record; the declared lengths are trusted."""
-    at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/1.", at):
-            raise ValueError(f"not a WARC record at byte {at}")
-        lines = data[at:end].decode("utf-8", "surrogateescape").split("\r\n")[1:]
-        fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines)
+def read_warc(stream: BinaryIO | bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(header fields, block) of each record; the declared lengths are trusted. One record is in memory at a time."""
+    stream = io.BytesIO(stream) if isinstance(stream, bytes) else stream
+    while version := stream.readline():
+        if not version.startswith(b"WARC/1."):
+            raise ValueError("not a WARC record")
+        fields: dict[str, str] = {}
+        while line := stream.readline().removesuffix(b"\r\n"):
+            name, _, value = line.decode("utf-8", "surrogateescape").partition(":")
+            fields[name] = value.removeprefix(" ")
         size = int(fields["Content-Length"])
-        block = data[end + 4 : end + 4 + size]
-        if len(block) != size or data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} ends early")
+        block = stream.read(size)
+        if len(block) != size or stream.read(4) != b"\r\n\r\n":
+            raise ValueError(f"record {fields.get('WARC-Record-ID')} ends early")
         yield fields, block
-        at = end + 8 + size
 
 
 _HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n"
@@ -170,55 +175,72 @@ def _arc_date(page_id: int | None) -> str:
     return datetime.fromtimestamp(946_684_800 + abs(page_id or 0) % 600_000_000, timezone.utc).strftime("%Y%m%d%H%M%S")
 
 
-def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _records(rows: list[dict]) -> Iterator[bytes]:
     """Pages to ARC files of both versions, and these to WARC records."""
-    for whole in batches:
-        for at in range(0, whole.num_rows, 64):
-            rows = whole.slice(at, 64).to_pylist()
-            out = []
-            for version in (1, 2):
-                own = [r for r in rows if (r["page_id"] or 0) % 2 + 1 == version]
-                arc = write_arc(((_clean_url(r["url"]), _arc_date(r["page_id"]), "text/html", _HEAD + r["html"]) for r in own), version, "pages.arc")
-                for row, record in zip(own, read_arc(arc), strict=True):
-                    extra = {"X-Page-Id": "" if row["page_id"] is None else str(row["page_id"])}
-                    extra["X-Payload-Length"] = str(len(row["html"]))
-                    refers = None
-                    if row["original"] is not None:
-                        digest = hashlib.sha1(row["html"]).hexdigest()
-                        there, date = _clean_url(row["original_url"]), _arc_date(row["original"])
-                        refers = {
-                            "WARC-Refers-To": record_id(there, date, digest, str(row["original"])),
-                            "WARC-Refers-To-Target-URI": there,
-                            "WARC-Refers-To-Date": warc_date(date),
-                            "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                            "X-Refers-To-Page-Id": str(row["original"]),
-                        }
-                    out.append(to_warc(record, extra, refers))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
+    for version in (1, 2):
+        own = [r for r in rows if (r["page_id"] or 0) % 2 + 1 == version]
+        arc = write_arc(((_clean_url(r["url"]), _arc_date(r["page_id"]), "text/html", _HEAD + r["html"]) for r in own), version, "pages.arc")
+        for row, record in zip(own, read_arc(arc), strict=True):
+            extra = {"X-Page-Id": "" if row["page_id"] is None else str(row["page_id"])}
+            extra["X-Payload-Length"] = str(len(row["html"]))
+            refers = None
+            if row["original"] is not None:
+                digest = hashlib.sha1(row["html"]).hexdigest()
+                there, date = _clean_url(row["original_url"]), _arc_date(row["original"])
+                refers = {
+                    "WARC-Refers-To": record_id(there, date, digest, row["original_place"]),
+                    "WARC-Refers-To-Target-URI": there,
+                    "WARC-Refers-To-Date": warc_date(date),
+                    "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
+                    "X-Refers-To-Page-Id": str(row["original"]),
+                }
+            yield to_warc(record, extra, refers, row["place"]) + b"\r\n\r\n"
+
+
+def _convert(batches: Iterator[pa.RecordBatch], file_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Archive files: gzip members, one for each record, up to ``file_bytes``."""
+    members: list[bytes] = []
+    out = lambda: pa.RecordBatch.from_arrays([pa.array([b"".join(members)], pa.binary())], ["archive"])
+    for batch in batches:
+        for at in range(0, batch.num_rows, 16):
+            for record in _records(batch.slice(at, 16).to_pylist()):
+                member = gzip.compress(record, 6, mtime=0)
+                if members and sum(map(len, members)) + len(member) > file_bytes:
+                    yield out()
+                    members.clear()
+                members.append(member)
+    if members:
+        yield out()
 
 
 def _payload(html: Column) -> Column:
     return F.coalesce(html, F.lit("")).cast("binary")
 
 
-def write_archives(pages: DataFrame, path: str) -> None:
-    """Write a WARC record for each row of ``pages(page_id, url, html)`` to compressed files under ``path``.
+def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
+    """Write a WARC record for each row of ``pages(page_id, url, html)`` to files under ``path``.
 
-    Of rows with equal payloads of LEAST_REVISIT bytes or more, that with the
-    largest page_id is a response and those with smaller ones revisit it; rows
-    that share the largest id are responses all. A row without a page_id is a
-    response.
+    A file is a sequence of gzip members, one for each record, of about
+    ``file_bytes`` at most; Spark gives it a text file's name. Of rows with equal
+    payloads of LEAST_REVISIT bytes or more, that with the largest page_id is a
+    response and those with smaller ones revisit it; rows that share the largest
+    id are responses all. A row without a page_id is a response. Only payloads
+    that may be revisits move, to meet the original of their digest.
     """
-    html = _payload(F.col("html"))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
-    keyed = rows.withColumn("digest", F.when((F.octet_length("html") >= LEAST_REVISIT) & F.col("page_id").isNotNull(), F.sha1("html")))
-    last = keyed.where("digest is not null").groupBy("digest").agg(F.max_by(F.struct("page_id", "url"), F.struct("page_id", "url")).alias("o"), F.min("page_id").alias("least"))
-    last = last.where("least < o.page_id").select("digest", F.col("o.page_id").alias("original"), F.col("o.url").alias("original_url"))
-    told = keyed.join(last, "digest", "left")
+    placed = with_place(pages, unused(pages.columns, "warc_file"), unused(pages.columns, "warc_row"), "warc-input")
+    place = F.concat_ws(":", *[F.col(c).cast("string") for c in placed.columns[-2:]])
+    rows = placed.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), _payload(F.col("html")).alias("html"), place.alias("place"))
+    able = (F.octet_length("html") >= LEAST_REVISIT) & F.col("page_id").isNotNull()
+    keyed = rows.where(able).withColumn("digest", F.sha1("html"))
+    one = F.struct("page_id", "url", "place")
+    last = keyed.groupBy("digest").agg(F.max(one).alias("o"), F.min("page_id").alias("least"))
+    last = last.where("least < o.page_id").select("digest", F.col("o.page_id").alias("original"), F.col("o.url").alias("original_url"), F.col("o.place").alias("original_place"))
+    more = ("original", "original_url", "original_place")
     repeats = F.col("original") > F.col("page_id")
-    told = told.select("page_id", "url", "html", *[F.when(repeats, F.col(c)).alias(c) for c in ("original", "original_url")])
-    records = told.mapInArrow(_convert, "record binary").select(F.col("record").cast("string").alias("value"))
-    records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    told = keyed.join(last, "digest", "left").select("page_id", "url", "html", "place", *[F.when(repeats, F.col(c)).alias(c) for c in more])
+    others = rows.where(~F.coalesce(able, F.lit(False))).select("*", *[F.lit(None).cast("long" if c == "original" else "string").alias(c) for c in more])
+    archives = told.unionByName(others).mapInArrow(lambda b: _convert(b, file_bytes), "archive binary").select(F.col("archive").cast("string").alias("value"))
+    archives.write.option("lineSep", _PADDING).option("compression", "none").option("maxRecordsPerFile", 1).text(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +248,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column("content"):
             rows = []
-            for fields, block in read_warc(gzip.decompress(content.as_py())):
+            for fields, block in read_warc(gzip.GzipFile(fileobj=io.BytesIO(content.as_py()))):
                 digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                 own = payload_of(block)[1]
                 kind = fields["WARC-Type"]
@@ -246,7 +268,7 @@ def _hex(base32: str) -> str:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row for each record of the archives under ``path``; responses' digests are checked."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     return files.mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, target_uri string, warc_date string")
 
 
@@ -254,8 +276,10 @@ def convert(pages: DataFrame, path: str | None = None) -> DataFrame:
     """``(page_id, payload_bytes, payload_digest, record_type, refers_to, record_id, target_uri, warc_date)``
     of each row of ``pages``, read back from the archives written under ``path``.
 
-    Null html is an empty payload. Repeated rows have a record each. An empty
-    table writes no record.
+    Null html is an empty payload, and a null url is ``urn:none``. Repeated rows
+    have a record each, with its own identifier. Payloads and URLs are kept
+    whole, whatever their length. Other columns are ignored; an empty table
+    writes no record.
     """
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")

@@ -1,4 +1,6 @@
+import gzip
 import hashlib
+import zlib
 
 import pytest
 
@@ -60,8 +62,9 @@ def test_pages(spark, tmp_path):
         back = i is not None and to is not None and to > i
         want.append((i, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if back else "response", to if back else None))
     assert got == sorted(want, key=str)
-    records = [f for p in (tmp_path / "w").glob("*.gz") for f, _ in A.read_warc(__import__("gzip").decompress(p.read_bytes()))]
+    records = [f for p in (tmp_path / "w").glob("part-*") for f, _ in A.read_warc(gzip.decompress(p.read_bytes()))]
     ids = {f["WARC-Record-ID"] for f in records}
+    assert len(ids) == len(records) == len(pages)
     assert all(f["WARC-Refers-To"] in ids for f in records if f["WARC-Type"] == "revisit")
 
 
@@ -74,3 +77,24 @@ def test_long_urls_stay_whole(spark):
     df = spark.createDataFrame([(i, u, "small") for i, u in enumerate(urls)], "page_id long, url string, html string")
     got = A.convert(df).collect()
     assert sorted(r.target_uri for r in got) == urls and len({r.record_id for r in got}) == 2
+
+
+def test_a_member_for_each_record_and_files_by_bytes(spark, tmp_path):
+    """Every record can be read by itself; files end before they grow beyond the bound."""
+    rows = [(i % 40 if i % 7 else None, f"http://a/{i % 40}", f"{i} " * (1 + 40 * (i % 50))) for i in range(400)] + [(500, "http://b", "".join(chr(33 + i * i % 90) for i in range(200_000)))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    A.write_archives(frame, str(tmp_path / "w"), file_bytes=20_000)
+    n = 0
+    for file in (tmp_path / "w").glob("part-*"):
+        data, members = file.read_bytes(), 0
+        rest = data
+        while rest.strip(b"\0"):
+            one = zlib.decompressobj(31)
+            found = list(A.read_warc(one.decompress(rest)))
+            assert len(found) == 1
+            rest, members = one.unused_data, members + 1
+        assert members == 1 or len(data) <= 20_001
+        n += members
+    assert n == len(rows)
+    got = A.read_archives(spark, str(tmp_path / "w")).collect()
+    assert len(got) == len({r.record_id for r in got}) == len(rows)
