@@ -3,19 +3,20 @@
 The model is trained on trusted text. Its counts stay distributed tables, keyed
 and sharded by n-gram, and documents are scored by joining the distinct n-grams
 of a block of documents with those tables. Each language's threshold is a
-quantile of the perplexities of its trusted documents.
+quantile of the perplexities of trusted documents that were not counted.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm.shared import unused, with_place
 from paperloom.scratch import stored
 
 ORDER = 4
@@ -24,46 +25,59 @@ SYMBOL_BITS = 15
 _PLAIN = 1 << 14
 #: Symbol 0 pads the start of a text, symbol 1 ends it (U+0001 counts as an end).
 _END = 1
-#: Share of a language's trusted documents that its threshold keeps.
-KEEP_QUANTILE = 0.998
-#: Trusted documents that a language needs for a threshold of its own.
-LEAST_TRUSTED = 200
+_SEED = 11
+#: Share of trusted documents that the thresholds keep.
+KEEP_QUANTILE = 0.99
+#: One trusted text in so many is left out of the counts and sets the thresholds.
+HELD_OUT = 5
+#: Weight, in documents, of all languages' spread beside a language's own in its threshold.
+SHARED_WEIGHT = 200
 ADDED = ("lm_symbols", "lm_perplexity", "lm_threshold", "lm_kept")
-#: Rows of a file whose distinct n-grams are looked up together.
-BLOCK_ROWS = 4096
-#: Characters of texts whose n-grams are in memory at once (or one text's).
-RUN_CHARS = 2_000_000
+#: Rows of a file whose distinct n-grams are looked up together, where none is longer than BLOCK_CHARS characters;
+#: rows of twice that are taken half as many at a time, and so on, so that a block holds BLOCK_ROWS times BLOCK_CHARS
+#: characters at most, or one text.
+BLOCK_ROWS, BLOCK_CHARS = 4096, 8192
+#: Characters whose n-grams are in memory at once.
+RUN_CHARS = 1_000_000
+#: Distinct n-grams of blocks that a task holds before it hands them on.
+HELD_KEYS = 4_000_000
 
 
 def symbols(text: str) -> np.ndarray:
-    """The text's code points as symbols, with padding before and an end after them."""
+    """The text's code points as symbols."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    points = np.where(points < _PLAIN, np.maximum(points, _END), _PLAIN + points % (_PLAIN - 1))
-    return np.concatenate([np.zeros(ORDER - 1, np.int64), points, [_END]])
-
-
-def ngrams(text: str) -> np.ndarray:
-    """One key for each symbol of the text: its n-gram of the highest order, 60 bits."""
-    s = symbols(text)
-    n = len(s) - ORDER + 1
-    keys = s[:n].copy()
-    for i in range(1, ORDER):
-        keys <<= SYMBOL_BITS
-        keys |= s[i : i + n]
-    return keys
-
-
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """Runs of texts that hold RUN_CHARS characters together, or one text each: (first row, n-grams)."""
-    first, run, size = 0, [], 0
+    return np.where(points < _PLAIN, np.maximum(points, _END), _PLAIN + points % (_PLAIN - 1))
+
+
+def ngrams(text: str) -> Iterator[np.ndarray]:
+    """One key for each symbol of the text and for its end: its n-gram of the highest order, 60 bits; a run at a time."""
+    before = np.zeros(ORDER - 1, np.int64)
+    for at in range(0, len(text) + 1, RUN_CHARS):
+        part = symbols(text[at : at + RUN_CHARS])
+        if at + RUN_CHARS > len(text):
+            part = np.append(part, _END)
+        s = np.concatenate([before, part])
+        before = s[len(s) - ORDER + 1 :]
+        keys = s[: len(part)].copy()
+        for i in range(1, ORDER):
+            keys <<= SYMBOL_BITS
+            keys |= s[i : i + len(part)]
+        yield keys
+
+
+def _runs(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The texts' n-grams in runs of about RUN_CHARS at most: keys, and the text that each belongs to."""
+    keys, owner, size = [], [], 0
     for at, text in enumerate(texts):
-        if run and size + len(text or "") > RUN_CHARS:
-            yield first, run
-            first, run, size = at, [], 0
-        run.append(ngrams(text or ""))
-        size += len(text or "")
-    if run:
-        yield first, run
+        for part in ngrams(text or ""):
+            if size and size + len(part) > RUN_CHARS:
+                yield np.concatenate(keys), np.concatenate(owner)
+                keys, owner, size = [], [], 0
+            keys.append(part)
+            owner.append(np.full(len(part), at))
+            size += len(part)
+    if keys:
+        yield np.concatenate(keys), np.concatenate(owner)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,8 +85,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     out = lambda: pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "c"])
     for batch in batches:
-        for _, run in _blocks(batch.column("text").to_pylist()):
-            k, c = np.unique(np.concatenate(run), return_counts=True)
+        for run, _ in _runs(batch.column("text").to_pylist()):
+            k, c = np.unique(run, return_counts=True)
             merged, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
             counts = np.bincount(at, np.concatenate([counts, c])).astype(np.int64)
             keys = merged
@@ -125,7 +139,7 @@ def log_probabilities(keys: DataFrame, model: dict[int, tuple[DataFrame, DataFra
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of rows of one block as compressed Arrow data."""
+    """The rows of each block in a batch as compressed Arrow data."""
     options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
     for batch in batches:
         for block, piece in _by_block(batch):
@@ -136,39 +150,43 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _by_block(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Runs of equal blocks in a batch, without the block's column."""
-    at = batch.schema.get_field_index("lm_block")
-    blocks = batch.column(at).to_numpy()
-    rest = batch.remove_column(at)
-    edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+    """The rows of each block in a batch, without the block's column, which is the last."""
+    blocks = batch.column(batch.num_columns - 1).to_numpy()
+    rest = batch.select(list(range(batch.num_columns - 1)))
+    order = np.argsort(blocks, kind="stable")
+    edges = [0, *(np.flatnonzero(np.diff(blocks[order])) + 1).tolist(), len(blocks)]
     for first, last in zip(edges, edges[1:], strict=False):
         if last > first:
-            yield int(blocks[first]), rest.slice(first, last - first)
+            whole = order[last - 1] - order[first] == last - 1 - first
+            piece = rest.slice(int(order[first]), last - first) if whole else rest.take(pa.array(order[first:last]))
+            yield int(blocks[order[first]]), piece
 
 
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct n-grams of each block, once for each task that reads of it."""
-    now, keys = None, np.zeros(0, np.int64)
-    out = lambda: pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), now)), pa.array(keys)], ["block", "key"])
+    """The distinct n-grams of each block, once or, where a task can't hold them, in parts."""
+    held: dict[int, np.ndarray] = {}
+
+    def out() -> pa.RecordBatch:
+        found = [pa.array(np.repeat(np.array(list(held), np.int64), [len(k) for k in held.values()])), pa.array(np.concatenate(list(held.values())))]
+        held.clear()
+        return pa.RecordBatch.from_arrays(found, ["block", "key"])
+
     for batch in batches:
         for block, rows in _by_block(batch):
-            if block != now:
-                if len(keys):
-                    yield out()
-                now, keys = block, keys[:0]
-            for _, run in _blocks(rows.column("text").to_pylist()):
-                keys = np.union1d(keys, np.concatenate(run))
-    if len(keys):
+            for run, _ in _runs(rows.column(0).to_pylist()):
+                held[block] = np.union1d(held[block], run) if block in held else np.unique(run)
+            if sum(map(len, held.values())) > HELD_KEYS:
+                yield out()
+    if held:
         yield out()
 
 
-def _blocked(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``lm_block``, the place of each row's file and row range; other frames are written first."""
-    place = F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / BLOCK_ROWS))
-    try:
-        return docs.withColumn("lm_block", place)
-    except AnalysisException:
-        return stored(docs, "lm-input").withColumn("lm_block", place)
+def _block(file: Column, row: Column, text: Column) -> Column:
+    """The block of a row: its file, the class of its length, and its range of rows there."""
+    size = F.greatest(F.coalesce(F.length(text), F.lit(0)), F.lit(1)) / BLOCK_CHARS
+    level = F.greatest(F.floor(F.log2(size)) + 1, F.lit(0)).cast("int")
+    rows = F.greatest(F.lit(BLOCK_ROWS) / F.pow(F.lit(2.0), level), F.lit(1.0))
+    return F.xxhash64(file, level, F.floor(row / rows))
 
 
 def score(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], carry: list[str] | None = None) -> DataFrame:
@@ -177,10 +195,11 @@ def score(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], carry:
     Texts travel once, compressed, to meet the answers for their block. A null
     or empty text has one symbol, its end. All rows stay.
     """
-    carry = [c for c in (docs.columns if carry is None else carry) if c not in ADDED]
-    needed = list(dict.fromkeys([*carry, "text"]))
-    blocks = _blocked(docs.select(*needed))
-    wanted = stored(blocks.select("text", "lm_block").mapInArrow(_wanted, "block long, key long"), "lm-wanted")
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ADDED]
+    file, row = unused(docs.columns, "lm_file"), unused(docs.columns, "lm_row")
+    placed = with_place(docs, file, row, "lm_input")
+    block = _block(F.col(file), F.col(row), F.col("text"))
+    wanted = stored(placed.select("text", block.alias("lm_block")).mapInArrow(_wanted, "block long, key long"), "lm-wanted")
     known = stored(log_probabilities(wanted.select("key").distinct(), model), "lm-known")
     answers = wanted.join(known, "key").select("block", "key", "logp")
     schema = docs.select(*carry).schema.add("lm_symbols", "long").add("lm_perplexity", "double")
@@ -191,20 +210,20 @@ def score(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], carry:
         out = []
         for blob in left.column("rows"):
             rows = pa.ipc.open_stream(blob.as_py()).read_all()
-            n, total = [], []
-            for _, run in _blocks(rows.column("text").to_pylist()):
-                ends = np.cumsum([len(x) for x in run])
-                asked = np.concatenate(run)
+            n, total = np.zeros(len(rows), np.int64), np.zeros(len(rows))
+            for asked, owner in _runs(rows.column(0).to_pylist()):
                 at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
                 if not np.array_equal(keys[at], asked):
                     raise ValueError("the documents changed between two reads")
-                total.append(np.add.reduceat(logp[at], np.concatenate([[0], ends[:-1]])))
-                n.append(np.diff(ends, prepend=0))
-            n, total = np.concatenate(n), np.concatenate(total)
-            out.append(rows.select(carry).append_column("lm_symbols", pa.array(n)).append_column("lm_perplexity", pa.array(np.exp(-total / n))))
+                n += np.bincount(owner, minlength=len(rows))
+                total += np.bincount(owner, logp[at], len(rows))
+            out.append(rows.select(list(range(1, rows.num_columns))).append_column("lm_symbols", pa.array(n)).append_column("lm_perplexity", pa.array(np.exp(-total / n))))
         return pa.concat_tables(out)
 
-    packed = blocks.mapInArrow(_packed, "block long, rows binary")
+    # The text comes first and the block last, whatever the names between.
+    texts = unused(docs.columns, "lm_text")
+    packed = placed.select(F.col("text").alias(texts), *[F.col(c) for c in carry], block.alias(unused([*docs.columns, texts], "lm_block")))
+    packed = packed.mapInArrow(_packed, "block long, rows binary")
     return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
@@ -213,25 +232,52 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
 
 
+def held_out(text: Column) -> Column:
+    """True for the texts that set thresholds instead of being counted; copies of a text go together."""
+    return F.pmod(F.xxhash64(F.lit(_SEED), text), F.lit(HELD_OUT)) == 0
+
+
+def thresholds(trusted: DataFrame, quantile: float = KEEP_QUANTILE) -> tuple[DataFrame, float | None]:
+    """``(lm_lang, lm_own)`` of each language of ``trusted(lang, lm_perplexity)``, and the quantile over all.
+
+    A language's threshold is its median perplexity times a spread, the
+    ``quantile`` of its documents' ratios to the median. Its own spread counts as
+    many documents as it has, that over all languages counts SHARED_WEIGHT, so
+    that a language with few of them leans on the others and no size is a switch.
+    """
+    at = lambda c, q: F.percentile_approx(c, F.lit(q), F.lit(10_000))
+    logs = stored(trusted.select("lang", F.log("lm_perplexity").alias("log")), "lm-trusted-scores")
+    own = stored(logs.groupBy(F.col("lang").alias("lm_lang")).agg(F.count("*").alias("n"), at("log", 0.5).alias("median"), at("log", quantile).alias("top")), "lm-languages")
+    spread = logs.join(own, logs["lang"].eqNullSafe(own["lm_lang"])).agg(at(F.col("log") - F.col("median"), quantile).alias("s"), at("log", quantile).alias("q")).first()
+    if spread.q is None:
+        return own.select("lm_lang", F.lit(None).cast("double").alias("lm_own")), None
+    shared = (F.col("n") * (F.col("top") - F.col("median")) + SHARED_WEIGHT * F.lit(float(spread.s))) / (F.col("n") + SHARED_WEIGHT)
+    return own.select("lm_lang", F.exp(F.col("median") + shared).alias("lm_own")), math.exp(spread.q)
+
+
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE, carry: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``carry``, which hold doc_id and lang) with ``lm_symbols``, ``lm_perplexity``,
     ``lm_threshold`` and ``lm_kept``.
 
-    A document is kept if its perplexity is no more than the ``quantile`` of
-    those of its language's trusted documents; languages (null is one) with
-    fewer than LEAST_TRUSTED of them use the quantile over all. Without trusted
-    documents every row is kept and the threshold is null. Null and empty texts
-    are judged like others; repeated rows are judged alike; columns of ``docs``
-    that have these names are replaced.
+    The model counts the trusted texts but one in HELD_OUT; these set the
+    thresholds, which depend on all of them. A document is kept if its
+    perplexity is no more than its language's threshold (null is a language);
+    one without trusted documents uses the quantile over all. Without trusted
+    held-out documents every row is kept and the threshold is null. Null and
+    empty texts are judged like others; repeated rows are judged alike; columns
+    of ``docs`` that have these names are replaced, and others stay, whatever
+    their names; an empty table gives no rows.
     """
     ids = stored(trusted_ids(labels), "lm-trusted")
-    model = train(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"))
-    scored = stored(score(docs, model, carry), "lm-scored")
-    trusted = scored.select("doc_id", "lang", "lm_perplexity").join(ids, "doc_id", "left_semi")
-    at = F.percentile_approx("lm_perplexity", F.lit(quantile), F.lit(10_000))
-    overall = trusted.agg(at.alias("q")).first().q
-    own = trusted.groupBy("lang").agg(F.count("*").alias("n"), at.alias("lm_own")).where(F.col("n") >= LEAST_TRUSTED)
-    own = own.select(F.col("lang").alias("lm_lang"), "lm_own")
-    judged = scored.join(own, scored["lang"].eqNullSafe(own["lm_lang"]), "left").drop("lm_lang")
-    judged = judged.withColumn("lm_threshold", F.coalesce("lm_own", F.lit(overall).cast("double"))).drop("lm_own")
-    return judged.withColumn("lm_kept", F.coalesce(F.col("lm_perplexity") <= F.col("lm_threshold"), F.lit(True)))
+    good = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    model = train(good.where(~held_out(F.coalesce("text", F.lit("")))))
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ADDED]
+    told = unused(docs.columns, "lm_held")
+    marked = docs.withColumn(told, held_out(F.coalesce("text", F.lit(""))))
+    scored = stored(score(marked, model, [*carry, told]), "lm-scored")
+    own, overall = thresholds(scored.where(F.col(told)).select("doc_id", "lang", "lm_perplexity").join(ids, "doc_id", "left_semi"), quantile)
+    lang, mine = unused(scored.columns, "lm_lang"), unused(scored.columns, "lm_own")
+    own = own.toDF(lang, mine)
+    judged = scored.join(own, F.col("lang").eqNullSafe(F.col(lang)), "left").withColumn("lm_threshold", F.coalesce(mine, F.lit(overall).cast("double")))
+    judged = judged.withColumn("lm_kept", F.coalesce(F.col("lm_perplexity") <= F.col("lm_threshold"), F.lit(True)))
+    return judged.select(*carry, *ADDED)

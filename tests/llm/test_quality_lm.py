@@ -56,7 +56,7 @@ def test_perplexity_is_the_textbook_one(spark):
 
 def test_probabilities_of_a_context_sum_to_one(spark):
     model = Q.train(spark.createDataFrame([(prose(i, 40),) for i in range(3)], "text string"))
-    context = Q.ngrams("the")[3] & ~((1 << Q.SYMBOL_BITS) - 1)
+    context = next(Q.ngrams("the"))[3] & ~((1 << Q.SYMBOL_BITS) - 1)
     keys = spark.range(1 << Q.SYMBOL_BITS).selectExpr(f"id + {int(context)}L AS key")
     total = Q.log_probabilities(keys, model).selectExpr("sum(exp(logp)) AS s").first().s
     assert total == pytest.approx(1.0, abs=1e-6)
@@ -65,7 +65,7 @@ def test_probabilities_of_a_context_sum_to_one(spark):
 def test_odd_rows_stay_and_junk_goes(spark):
     rows = [(i, prose(i, 100), "en", "a", 0) for i in range(300)] + [(900, "#### $$$$ %%%% &&&&" * 20, "en", "a", 0), (901, None, None, None, None), (902, "", "en", None, 0), (903, prose(3, 20_000), "fr", "b", 0), (5, prose(5, 100), "en", "a", 0)]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(250)] + [(None, 1, 0), (3, 1, 1)], LABELS)
-    judged = Q.classify(docs(spark, rows, clash=("lm_kept", "key", "block", "c", "rows")), labels)
+    judged = Q.classify(docs(spark, rows, clash=("lm_kept", "key", "block", "c", "rows", "lm_block", "lm_own", "lm_lang", "LM_Held", "lm_file", "lm_row", "lm_text")), labels)
     assert judged.columns[-4:] == list(Q.ADDED)
     got = judged.collect()
     assert len(got) == len(rows)
@@ -82,3 +82,64 @@ def test_without_labels_or_rows(spark):
 def test_all_trusted_rows_count(spark):
     labels = spark.range(200_500).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
     assert Q.trusted_ids(labels).count() == 200_500
+
+
+def test_runs_and_blocks_do_not_matter(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [prose(i, 40) for i in range(12)] + ["", None, "x", "é" * 50]
+    whole = [np.concatenate(list(Q.ngrams(t or ""))) for t in texts]
+    monkeypatch.setattr(Q, "RUN_CHARS", 7)
+    monkeypatch.setattr(Q, "HELD_KEYS", 60)
+    assert all(np.array_equal(np.concatenate(list(Q.ngrams(t or ""))), w) for t, w in zip(texts, whole))
+    runs = list(Q._runs(texts))
+    assert max(len(k) for k, _ in runs) <= 7
+    keys, owner = (np.concatenate(x) for x in zip(*runs))
+    assert all(np.array_equal(keys[owner == i], w) for i, w in enumerate(whole))
+    blocks = [i % 3 for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(blocks, pa.int64())], ["text", "b"])
+    got = [(b, k) for out in Q._wanted(iter([batch])) for b, k in zip(out.column(0).to_pylist(), out.column(1).to_pylist())]
+    assert set(got) == {(b, int(k)) for b, w in zip(blocks, whole) for k in w}
+
+
+def test_blocks_are_bounded_by_characters(spark):
+    from pyspark.sql import functions as F
+
+    lengths = [10, 8_000, 9_000, 20_000, 70_000, 40_000_000, 100_000_000]
+    rows = spark.range(4096 * 3).crossJoin(spark.createDataFrame([(n,) for n in lengths], "n long"))
+    # The length is given instead of a text of that length.
+    monkey = F.length
+    try:
+        F.length = lambda c: c
+        found = rows.select("n", Q._block(F.lit(1), F.col("id"), F.col("n")).alias("b"))
+    finally:
+        F.length = monkey
+    per = found.groupBy("b").agg(F.sum("n").alias("chars"), F.count("*").alias("rows"), F.min("n").alias("n")).collect()
+    assert all(r.chars <= Q.BLOCK_ROWS * Q.BLOCK_CHARS * 2 or r.rows == 1 for r in per)
+
+
+def test_thresholds_are_those_of_brute_force(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(lang, math.exp(rng.gauss(m, 0.1))) for lang, m, n in (("en", 1.5, 600), ("de", 1.7, 40), (None, 2.0, 3)) for _ in range(n)]
+    own, overall = Q.thresholds(spark.createDataFrame(rows, "lang string, lm_perplexity double"), 0.9)
+    # percentile_approx takes the least value that this share of all values does not exceed.
+    at = lambda xs, q: sorted(xs)[max(math.ceil(q * len(xs)) - 1, 0)]
+    logs = {k: [math.log(p) for x, p in rows if x == k] for k in ("en", "de", None)}
+    median = {k: at(v, 0.5) for k, v in logs.items()}
+    spread = at([x - median[k] for k, v in logs.items() for x in v], 0.9)
+    for r in own.collect():
+        n, v = len(logs[r.lm_lang]), logs[r.lm_lang]
+        want = median[r.lm_lang] + (n * (at(v, 0.9) - median[r.lm_lang]) + Q.SHARED_WEIGHT * spread) / (n + Q.SHARED_WEIGHT)
+        assert math.log(r.lm_own) == pytest.approx(want, abs=1e-9)
+    assert math.log(overall) == pytest.approx(at([x for v in logs.values() for x in v], 0.9), abs=1e-9)
+
+
+def test_low_quality_goes_and_good_stays(spark):
+    at = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{at}/labels.parquet")
+    got = Q.classify(spark.read.parquet(f"{at}/documents.parquet"), labels, carry=["doc_id", "lang"]).join(labels, "doc_id").collect()
+    good, bad = [r.lm_kept for r in got if r.quality == 1], [r.lm_kept for r in got if r.quality == 0]
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.25 * len(bad)
