@@ -1,4 +1,10 @@
-"""The corpus pipeline: filter, deduplicate, redact, mix and encode ``documents``."""
+"""The corpus pipeline: filter, deduplicate, redact, mix and encode ``documents``.
+
+Every stage works on all rows of the one before and keeps its columns, whatever
+further ones there are and however they are named; an empty table gives no rows.
+Null, shared and repeated ids are allowed everywhere: stages tell rows apart by
+their texts or by their place, never by id alone.
+"""
 
 from __future__ import annotations
 
@@ -12,28 +18,42 @@ from paperloom.scratch import stored
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """Documents that the quality classifier keeps.
+
+    Null and empty texts are judged like others (a single end of text), repeated
+    rows alike; very long texts are read in runs. Without trusted documents all stay.
+    """
     judged = quality_lm.classify(docs, table(spark, sf_dir, "labels"))
     return judged.where("lm_kept").select(*docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates.
+
+    The least doc_id stays, nulls last; of rows with the same, the first in place.
+    Null and wordless texts are one group.
+    """
     return simhash_dedup.one_of_each(docs)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their secrets replaced by a mark."""
+    """All documents, with their secrets replaced by a mark.
+
+    Null texts stay null; ``n_chars`` follows the new text.
+    """
     return secret_scan.redact(docs, secret_scan.fit(docs))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, once or twice."""
+    """Documents as often as the mix takes them: not at all, once or twice.
+
+    Row by row; a null source is a source, and texts without words come with whole copies only.
+    """
     return source_mix.materialize(docs)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded text of every row."""
+    """Token counts and digests of ids, decoded text and source spans of every row; null texts count as empty."""
     return piece_codec.digests(docs, queries.piece_model_path())
 
 
