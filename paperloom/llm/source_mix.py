@@ -107,12 +107,20 @@ def _cuts(ranked: DataFrame, plan: DataFrame) -> DataFrame:
         met = ranked.join(state.withColumnRenamed("source", "ss"), F.col("source").eqNullSafe(F.col("ss"))).drop("ss")
         return met.where(F.array(*[_digit(i) for i in range(at)]) == F.col("path")) if at else met
 
+    passed = lambda words: (F.col("start") <= F.col("rest")) & (F.col("rest") < F.col("start") + F.col(words))
+    carried = [F.first(c).alias(c) for c in ("rest", "before", "path")]
     for at in range(RANK_DIGITS + TIE_DIGITS):
-        cells = here(at).groupBy("source", _digit(at).alias("d")).agg(F.sum("size").alias("words"), F.first("rest").alias("rest"), F.first("before").alias("before"), F.first("path").alias("path"))
+        cells = here(at).groupBy("source", _digit(at).alias("d")).agg(F.sum("size").alias("words"), *carried)
+        # The cell in which the words pass the rest; a source without one is taken whole. Groups of cells come first, so
+        # that a window has no more rows of a source than a group has cells, or than there are groups.
+        high = F.shiftright("d", DIGIT_BITS // 2)
+        groups = cells.groupBy("source", high.alias("high")).agg(F.sum("words").alias("all"), *carried)
+        up = Window.partitionBy("source").orderBy("high").rowsBetween(Window.unboundedPreceding, -1)
+        group = groups.withColumn("start", F.col("before") + F.coalesce(F.sum("all").over(up), F.lit(0))).where(passed("all"))
+        group = group.select(F.col("source").alias("gs"), F.col("high").alias("gh"), F.col("start").alias("first"))
+        inner = cells.join(group, F.col("source").eqNullSafe(F.col("gs")) & (high == F.col("gh")))
         up = Window.partitionBy("source").orderBy("d").rowsBetween(Window.unboundedPreceding, -1)
-        cells = cells.withColumn("start", F.col("before") + F.coalesce(F.sum("words").over(up), F.lit(0)))
-        # The cell in which the words pass the rest; a source without one is taken whole.
-        found = cells.where((F.col("start") <= F.col("rest")) & (F.col("rest") < F.col("start") + F.col("words")))
+        found = inner.withColumn("start", F.col("first") + F.coalesce(F.sum("words").over(up), F.lit(0))).where(passed("words"))
         state = stored(found.select("source", "rest", F.col("start").alias("before"), F.array_append("path", F.col("d")).alias("path")), "mix-state")
     order = Window.partitionBy("source").orderBy("rank", "tie", "size").rowsBetween(Window.unboundedPreceding, -1)
     last = here(RANK_DIGITS + TIE_DIGITS).withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
