@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-import re
 import struct
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +15,6 @@ from sentencepiece import sentencepiece_model_pb2
 
 SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
-#: Runs of text that one worker keeps encoded.
-CACHE_RUNS = 250_000
 
 
 class CharacterMap:
@@ -66,17 +62,21 @@ class PieceCodec:
         self.pieces = [p.piece for p in spec.pieces]
         #: What each id puts into the decoded bytes, and whether it does so as a single byte.
         self.bytes_of = [bytes([int(p.piece[3:5], 16)]) if p.type == _BYTE else p.piece.replace(SPACE, " ").encode() for p in spec.pieces]
-        inside = any(re.search(f"[^{SPACE}]{SPACE}", p) for p, k in zip(self.pieces, self.kinds, strict=True) if k == _NORMAL)
-        line = any("\n" in p for p, k in zip(self.pieces, self.kinds, strict=True) if k == _NORMAL)
-        plain = not self.map.units and self.dummy and self.escape and not self.squeeze and spec.trainer_spec.model_type == 2
-        #: No merge crosses the start of a run, so that runs can be encoded one by one and kept.
-        self.by_run = plain and not inside and not line and not any(k == _USER for k in self.kinds) and not spec.trainer_spec.treat_whitespace_as_suffix
+        #: What each id decodes to.
+        self.shown = [b" \xe2\x81\x87 " if k == _UNKNOWN else b"" if k == _CONTROL else x for k, x in zip(self.kinds, self.bytes_of, strict=True)]
         #: Bytes of the normalised text that each id takes; those of an unknown piece depend on the text.
-        self.sizes = [1 if p.type == _BYTE else -1 if p.type == _UNKNOWN else len(p.piece.encode()) for p in spec.pieces]
-        self.cache: dict[str, tuple[list[int], bytes, bytes]] = {}
-
-    def normalize(self, text: str) -> tuple[bytes, list[int]]:
-        """The normalised text in UTF-8, and for each of its bytes and its end the source byte it came from."""
+        self.sizes = np.array([1 if p.type == _BYTE else -1 if p.type == _UNKNOWN else len(p.piece.encode()) for p in spec.pieces], np.int64)
+        #: Each id's bytes may be joined to give what the library decodes, but for the space that the normaliser adds.
+        self.joins = self.dummy and self.escape and not spec.trainer_spec.treat_whitespace_as_suffix and not any(k == _USER for k in self.kinds) and not self.squeeze
+
+    def normalize(self, text: str) -> tuple[bytes, np.ndarray]:
+        """The normalised text in UTF-8, and for each of its bytes and its end the source byte it came from.
+
+        By longest prefix: at each place the map's longest key is replaced, or
+        else the character stands for itself. Bytes of one character or of one
+        replacement come from its beginning. User-defined pieces, which a
+        normaliser would leave alone, are not looked for.
+        """
         data = text.encode()
         out, source = bytearray(), []
 
@@ -87,20 +87,10 @@ class PieceCodec:
         space = SPACE.encode() if self.escape else b" "
         if data and not self.map.units and not self.squeeze:  # no key can match: each character stands for itself
             first = len(space) if self.dummy else 0
-            at, source = 0, [0] * first
-            for c in text:
-                if c == " ":
-                    source += [at] * len(space)
-                    at += 1
-                elif c < "\x80":
-                    source.append(at)
-                    at += 1
-                else:
-                    size = len(c.encode())
-                    source += [at] * size
-                    at += size
-            source.append(at)
-            return space[:first] + data.replace(b" ", space), source
+            units = np.frombuffer(data, np.uint8)
+            begin = np.maximum.accumulate(np.where((units & 0xC0) != 0x80, np.arange(len(units), dtype=np.int32), 0))
+            whole = np.repeat(begin, np.where(units == 32, len(space), 1))
+            return space[:first] + data.replace(b" ", space), np.concatenate([np.zeros(first, np.int32), whole, [len(data)]])
         at, parts = 0, []
         while at < len(data):
             size, piece = self.map.longest(data, at)
@@ -126,92 +116,33 @@ class PieceCodec:
             while out.endswith(space):
                 end = source[len(out) - len(space)]
                 del out[-len(space) :], source[-len(space) :]
-        return bytes(out), [*source, end]
-
-    def _run(self, run: str) -> tuple[list[int], bytes, bytes]:
-        """Ids, their joined pieces, and the source byte of the run that each piece ends at (int32)."""
-        if run == " ":  # the library adds no space to an empty text
-            ids, ends = self.library.encode("\n")[:1], [1]
-        elif run[0] == " ":  # the space is the one that the normaliser adds
-            ids = self.library.encode(run[1:])
-            ends = [e + 1 for _, e in self.spans(run[1:], ids)]
-        else:
-            ids = self.library.encode(run)
-            ids, ends = ids[1:], [e for _, e in self.spans(run, ids)[1:]]
-        return ids, self._joined(ids), np.array(ends, np.int32).tobytes()
-
-    def _joined(self, ids: list[int]) -> bytes:
-        return b"".join(b" \xe2\x81\x87 " if self.kinds[i] == _UNKNOWN else b"" if self.kinds[i] == _CONTROL else self.bytes_of[i] for i in ids)
-
-    def encode(self, text: str | None) -> tuple[list[int], bytes]:
-        """Ids, and their pieces joined, each as the bytes it decodes to."""
-        if not text:
-            return [], b""
-        if not self.by_run:
-            ids = self.library.encode(text)
-            return ids, self._joined(ids)
-        found = self._runs(text)
-        return list(chain.from_iterable(x[0] for x in found)), b"".join([x[1] for x in found])
-
-    def encode_spans(self, text: str | None) -> tuple[list[int], bytes, np.ndarray, np.ndarray]:
-        """What ``encode`` and ``spans`` give, with begins and ends as arrays."""
-        if not text or not self.by_run or SPACE in text:  # a written-out space has three bytes, its run one
-            ids, joined = self.encode(text)
-            spans = np.array(self.spans(text, ids), np.int32).reshape(-1, 2)
-            begins, ends = spans[:, 0], spans[:, 1]
-        else:
-            found = self._runs(text)
-            ids, joined = list(chain.from_iterable(x[0] for x in found)), b"".join([x[1] for x in found])
-            ends = np.frombuffer(b"".join([x[2] for x in found]), np.int32)
-            counts = np.array([len(x[0]) for x in found])
-            sizes = ends[np.cumsum(counts) - 1]
-            ends = ends + np.repeat(np.cumsum(sizes, dtype=np.int32) - sizes - 1, counts)  # the first run starts with the added space
-            begins = np.concatenate([[0], ends[:-1]]).astype(np.int32)
-        if text and (begins[0] != 0 or ends[-1] != len(text.encode())):
-            raise ValueError(f"spans cover bytes {begins[0]} to {ends[-1]} of {len(text.encode())}")
-        return ids, joined, begins, ends
-
-    def _runs(self, text: str) -> list[tuple[list[int], bytes, bytes]]:
-        runs = re.findall(r"\n[^ \n]*| +[^ \n]*", " " + text.replace(SPACE, " "))
-        cache = self.cache
-        try:
-            return [cache[r] for r in runs]
-        except KeyError:
-            if len(cache) > CACHE_RUNS:
-                cache.clear()
-            found = []
-            for r in runs:
-                if r not in cache:
-                    cache[r] = self._run(r)
-                found.append(cache[r])
-            return found
-
-    def decode(self, ids: list[int], joined: bytes | None = None) -> str:
-        """What the library's decode gives."""
-        if not self.by_run:
-            return self.library.decode(ids)
-        text = (self._joined(ids) if joined is None else joined).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+        return bytes(out), np.array([*source, end], np.int64)
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and the source bytes [begin, end) of each.
 
-    def spans(self, text: str | None, ids: list[int]) -> list[tuple[int, int]]:
-        """Source bytes [begin, end) of each piece; a piece inside one replacement takes the whole of its source."""
-        if not text:
-            return []
+        Of pieces inside one character or replacement the last takes the whole of
+        its source, and those before it are empty, at its beginning.
+        """
+        ids = np.array(self.library.encode(text or ""), np.int64)
+        if not len(ids):
+            return ids, ids, ids
         norm, source = self.normalize(text)
-        ends, at = [], 0
-        for i in ids:
-            size = self.sizes[i]
-            at = at + size if size >= 0 else len(norm) if len(ids) == 1 else at + _unknown_length(norm, at)
-            ends.append(at)
-        if ends and ends[-1] != len(norm):
+        sizes = self.sizes[ids]
+        if (sizes < 0).any():  # unknown characters that follow each other are one piece; the library tells which
+            parts = self.library.encode(text, return_type="proto").pieces
+            sizes = np.where(sizes < 0, np.array([len(p.piece.encode()) for p in parts]), sizes)
+        ends = np.cumsum(sizes)
+        if ends[-1] != len(norm):
             raise ValueError(f"pieces end at byte {ends[-1]} of {len(norm)}")
-        begins = [0, *ends[:-1]]
-        return [(source[b], source[e]) for b, e in zip(begins, ends, strict=True)]
+        return ids, source[np.concatenate([[0], ends[:-1]])], source[ends]
 
-
-def _unknown_length(norm: bytes, at: int) -> int:
-    first = norm[at]
-    return 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
+    def decode(self, ids: Sequence[int]) -> str:
+        """What the library's decode gives."""
+        if not self.joins:
+            return self.library.decode([int(i) for i in ids])
+        text = b"".join(map(self.shown.__getitem__, ids)).decode("utf-8", "replace")
+        return text[1:] if text.startswith(" ") else text
 
 
 _CODECS: dict[int, PieceCodec] = {}
@@ -224,43 +155,41 @@ def _codec(model: bytes) -> PieceCodec:
     return _CODECS[key]
 
 
-def encode(docs: DataFrame, model_path: str, with_spans: bool = False) -> DataFrame:
-    """``(doc_id, ids, decoded)``, with ``begins`` and ``ends`` in source bytes if asked for.
+def encode(docs: DataFrame, model_path: str) -> DataFrame:
+    """``(doc_id, ids, decoded, begins, ends)``, the last two in source bytes.
 
     Null texts count as empty: no ids, empty decoded text. Every row is encoded
-    whole; repeated rows are encoded alike; other columns are ignored. The model
-    file is read by the driver and travels with the task (its size does not
-    depend on the data).
+    whole, however long; repeated rows are encoded alike; other columns are
+    ignored; an empty table gives no rows. The model file is read by the driver
+    and travels with the task (its size does not depend on the data).
     """
-    return _encoded(docs, model_path, "begins array<int>, ends array<int>" if with_spans else "")
+    return _encoded(docs, model_path, "begins array<int>, ends array<int>")
 
 
 def _encoded(docs: DataFrame, model_path: str, more: str) -> DataFrame:
-    """``(doc_id, ids, decoded)`` and the columns of ``more``: none, both of the spans, or their digest."""
+    """``(doc_id, ids, decoded)`` and the columns of ``more``: both of the spans, or their digest."""
     with open(model_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
-    names = ["doc_id", "ids", "decoded", *(c.split()[0] for c in more.split(", ") if c)]
+    names = ["doc_id", "ids", "decoded", *(c.split()[0] for c in more.split(", "))]
 
-    def lists(rows: list) -> pa.ListArray:
+    def lists(rows: list[np.ndarray]) -> pa.ListArray:
         ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(rows), np.int32, int(ends[-1]))))
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows).astype(np.int32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model.value)
-        one = codec.encode_spans if more else codec.encode
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                done = [one(t) for t in batch.column("text").to_pylist()]
-                columns = [batch.column("doc_id"), lists([d[0] for d in done]), pa.array([codec.decode(*d[:2]) for d in done], pa.string())]
+            for at in range(0, whole.num_rows, 64):
+                batch = whole.slice(at, 64)
+                done = [codec.encode(t) for t in batch.column("text").to_pylist()]
+                columns = [batch.column("doc_id"), lists([d[0] for d in done]), pa.array([codec.decode(d[0].tolist()) for d in done], pa.string())]
                 if "begins" in names:
-                    columns += [lists([d[k] for d in done]) for k in (2, 3)]
-                elif more:
-                    columns.append(pa.array([span_digest(*d[2:]) for d in done], pa.string()))
+                    columns += [lists([d[k] for d in done]) for k in (1, 2)]
+                else:
+                    columns.append(pa.array([span_digest(*d[1:]) for d in done], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, ids array<int>, decoded string" + (f", {more}" if more else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"doc_id long, ids array<int>, decoded string, {more}")
 
 
 def span_digest(begins: np.ndarray, ends: np.ndarray) -> str:
