@@ -34,9 +34,9 @@ HELD_OUT = 5
 SHARED_WEIGHT = 200
 ADDED = ("lm_symbols", "lm_perplexity", "lm_threshold", "lm_kept")
 #: Rows of a file whose distinct n-grams are looked up together, where none is longer than BLOCK_CHARS characters;
-#: rows of twice that are taken half as many at a time, and so on, so that a block holds BLOCK_ROWS times BLOCK_CHARS
-#: characters at most, or one text.
-BLOCK_ROWS, BLOCK_CHARS = 4096, 8192
+#: texts up to four times that are taken a quarter as many at a time, and so on, so that a block holds BLOCK_ROWS times
+#: BLOCK_CHARS characters at most, or one text.
+BLOCK_ROWS, BLOCK_CHARS = 2048, 65_536
 #: Characters whose n-grams are in memory at once.
 RUN_CHARS = 1_000_000
 #: Distinct n-grams of blocks that a task holds before it hands them on.
@@ -184,8 +184,8 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _block(file: Column, row: Column, text: Column) -> Column:
     """The block of a row: its file, the class of its length, and its range of rows there."""
     size = F.greatest(F.coalesce(F.length(text), F.lit(0)), F.lit(1)) / BLOCK_CHARS
-    level = F.greatest(F.floor(F.log2(size)) + 1, F.lit(0)).cast("int")
-    rows = F.greatest(F.lit(BLOCK_ROWS) / F.pow(F.lit(2.0), level), F.lit(1.0))
+    level = F.greatest(F.ceil(F.log2(size) / 2), F.lit(0)).cast("int")
+    rows = F.greatest(F.lit(BLOCK_ROWS) / F.pow(F.lit(4.0), level), F.lit(1.0))
     return F.xxhash64(file, level, F.floor(row / rows))
 
 

@@ -106,8 +106,8 @@ def test_runs_and_blocks_do_not_matter(monkeypatch):
 def test_blocks_are_bounded_by_characters(spark):
     from pyspark.sql import functions as F
 
-    lengths = [10, 8_000, 9_000, 20_000, 70_000, 40_000_000, 100_000_000]
-    rows = spark.range(4096 * 3).crossJoin(spark.createDataFrame([(n,) for n in lengths], "n long"))
+    lengths = [10, 8_000, 65_536, 65_537, 200_000, 300_000, 40_000_000, 100_000_000]
+    rows = spark.range(2048 * 3).crossJoin(spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "i long, n long")).selectExpr("id * 8 + i AS id", "n")
     # The length is given instead of a text of that length.
     monkey = F.length
     try:
@@ -116,7 +116,7 @@ def test_blocks_are_bounded_by_characters(spark):
     finally:
         F.length = monkey
     per = found.groupBy("b").agg(F.sum("n").alias("chars"), F.count("*").alias("rows"), F.min("n").alias("n")).collect()
-    assert all(r.chars <= Q.BLOCK_ROWS * Q.BLOCK_CHARS * 2 or r.rows == 1 for r in per)
+    assert all(r.chars <= Q.BLOCK_ROWS * Q.BLOCK_CHARS or r.rows == 1 for r in per)
 
 
 def test_thresholds_are_those_of_brute_force(spark):
