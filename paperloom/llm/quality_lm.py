@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,17 @@ BLOCK_ROWS, BLOCK_CHARS = 2048, 65_536
 RUN_CHARS = 1_000_000
 #: Distinct n-grams of blocks that a task holds before it hands them on.
 HELD_KEYS = 4_000_000
+#: The most frequent n-grams, whose answers go to all workers instead of being joined for every block.
+HEAD = 1 << 17
+
+
+@dataclass
+class Model:
+    """For each order, tables ``(key, share)`` and ``(ctx, rest)``; and sorted keys and log probabilities of the HEAD
+    most frequent n-grams of the highest order."""
+
+    orders: dict[int, tuple[DataFrame, DataFrame]]
+    head: tuple[np.ndarray, np.ndarray]
 
 
 def symbols(text: str) -> np.ndarray:
@@ -101,8 +113,8 @@ def _low(order: int) -> int:
     return (1 << (SYMBOL_BITS * order)) - 1
 
 
-def train(trusted: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
-    """For each order, tables ``(key, share)`` and ``(ctx, rest)`` made from ``trusted(text)``.
+def train(trusted: DataFrame) -> Model:
+    """The model of ``trusted(text)``.
 
     ``share`` is an n-gram's discounted count over its context's total, ``rest``
     the weight that the context leaves to the order below. Below the highest
@@ -110,7 +122,7 @@ def train(trusted: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
     of each order come from its counts of counts.
     """
     counts = stored(trusted.select("text").mapInArrow(_count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")), "ngrams")
-    model = {}
+    orders, most = {}, counts.orderBy(F.desc("c"), "key").limit(HEAD).select("key")
     for order in range(ORDER, 0, -1):
         if order < ORDER:
             counts = counts.groupBy((F.col("key").bitwiseAND(F.lit(_low(order)))).alias("key")).agg(F.count("*").alias("c"))
@@ -123,15 +135,18 @@ def train(trusted: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
         context = keyed.groupBy("ctx").agg(F.sum("c").alias("total"), F.sum("d").alias("d"))
         context = context.select("ctx", "total", (F.col("d") / F.col("total")).alias("rest"))
         share = keyed.join(context.select("ctx", "total"), "ctx").select("key", ((F.col("c") - F.col("d")) / F.col("total")).alias("share"))
-        model[order] = stored(share, f"share{order}"), stored(context.select("ctx", "rest"), f"rest{order}")
+        orders[order] = stored(share, f"share{order}"), stored(context.select("ctx", "rest"), f"rest{order}")
+    model = Model(orders, (np.zeros(0, np.int64), np.zeros(0)))
+    head = log_probabilities(most, model).orderBy("key").toArrow()  # HEAD rows at most
+    model.head = head.column("key").to_numpy(), head.column("logp").to_numpy()
     return model
 
 
-def log_probabilities(keys: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]]) -> DataFrame:
+def log_probabilities(keys: DataFrame, model: Model) -> DataFrame:
     """``(key, logp)`` for distinct n-grams ``keys(key)``, by one pair of joins for each order."""
     scored = keys.withColumn("p", F.lit(1.0 / (1 << SYMBOL_BITS)))
     for order in range(1, ORDER + 1):
-        share, rest = model[order]
+        share, rest = model.orders[order]
         scored = scored.withColumn("k", F.col("key").bitwiseAND(F.lit(_low(order)))).withColumn("h", F.shiftright("k", SYMBOL_BITS))
         scored = scored.join(share.toDF("k", "share"), "k", "left").join(rest.toDF("h", "rest"), "h", "left")
         scored = scored.select("key", (F.coalesce("share", F.lit(0.0)) + F.coalesce("rest", F.lit(1.0)) * F.col("p")).alias("p"))
@@ -162,8 +177,8 @@ def _by_block(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
             yield int(blocks[order[first]]), piece
 
 
-def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct n-grams of each block, once or, where a task can't hold them, in parts."""
+def _wanted(batches: Iterator[pa.RecordBatch], head: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of each block that aren't in ``head``, once or, where a task can't hold them, in parts."""
     held: dict[int, np.ndarray] = {}
 
     def out() -> pa.RecordBatch:
@@ -174,13 +189,20 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block, rows in _by_block(batch):
             for run, _ in _runs(rows.column(0).to_pylist()):
-                held[block] = np.union1d(held[block], run) if block in held else np.unique(run)
+                run = np.unique(run)
+                run = run[~_inside(run, head)]
+                held[block] = np.union1d(held[block], run) if block in held else run
             if sum(map(len, held.values())) > HELD_KEYS:
                 yield out()
     if held:
         yield out()
 
 
+def _inside(asked: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each of ``asked`` is among the sorted ``keys``."""
+    return keys[np.minimum(np.searchsorted(keys, asked), len(keys) - 1)] == asked if len(keys) else np.zeros(len(asked), bool)
+
+
 def _block(file: Column, row: Column, text: Column) -> Column:
     """The block of a row: its file, the class of its length, and its range of rows there."""
     size = F.greatest(F.coalesce(F.length(text), F.lit(0)), F.lit(1)) / BLOCK_CHARS
@@ -189,24 +211,26 @@ def _block(file: Column, row: Column, text: Column) -> Column:
     return F.xxhash64(file, level, F.floor(row / rows))
 
 
-def score(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], carry: list[str] | None = None) -> DataFrame:
+def score(docs: DataFrame, model: Model, carry: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``carry``) with ``lm_symbols`` and ``lm_perplexity``.
 
-    Texts travel once, compressed, to meet the answers for their block. A null
-    or empty text has one symbol, its end. All rows stay.
+    Texts travel once, compressed, to meet the answers for their block; only the
+    n-grams that aren't among the most frequent are joined with the model's
+    tables. A null or empty text has one symbol, its end. All rows stay.
     """
+    head = docs.sparkSession.sparkContext.broadcast(model.head)
     carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ADDED]
     file, row = unused(docs.columns, "lm_file"), unused(docs.columns, "lm_row")
     placed = with_place(docs, file, row, "lm_input")
     block = _block(F.col(file), F.col(row), F.col("text"))
-    wanted = stored(placed.select("text", block.alias("lm_block")).mapInArrow(_wanted, "block long, key long"), "lm-wanted")
+    wanted = stored(placed.select("text", block.alias("lm_block")).mapInArrow(lambda b: _wanted(b, head.value[0]), "block long, key long"), "lm-wanted")
     known = stored(log_probabilities(wanted.select("key").distinct(), model), "lm-known")
-    answers = wanted.join(known, "key").select("block", "key", "logp")
+    answers = wanted.join(known.hint("merge"), "key").select("block", "key", "logp")  # known grows: never broadcast
     schema = docs.select(*carry).schema.add("lm_symbols", "long").add("lm_perplexity", "double")
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, first = np.unique(right.column("key").to_numpy(), return_index=True)
-        logp = right.column("logp").to_numpy()[first]
+        keys, first = np.unique(np.concatenate([head.value[0], right.column("key").to_numpy()]), return_index=True)
+        logp = np.concatenate([head.value[1], right.column("logp").to_numpy()])[first]
         out = []
         for blob in left.column("rows"):
             rows = pa.ipc.open_stream(blob.as_py()).read_all()

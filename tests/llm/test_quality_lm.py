@@ -98,9 +98,10 @@ def test_runs_and_blocks_do_not_matter(monkeypatch):
     keys, owner = (np.concatenate(x) for x in zip(*runs))
     assert all(np.array_equal(keys[owner == i], w) for i, w in enumerate(whole))
     blocks = [i % 3 for i in range(len(texts))]
+    head = np.unique(np.concatenate(whole))[::3]
     batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(blocks, pa.int64())], ["text", "b"])
-    got = [(b, k) for out in Q._wanted(iter([batch])) for b, k in zip(out.column(0).to_pylist(), out.column(1).to_pylist())]
-    assert set(got) == {(b, int(k)) for b, w in zip(blocks, whole) for k in w}
+    got = [(b, k) for out in Q._wanted(iter([batch]), head) for b, k in zip(out.column(0).to_pylist(), out.column(1).to_pylist())]
+    assert set(got) == {(b, int(k)) for b, w in zip(blocks, whole) for k in w if k not in head}
 
 
 def test_blocks_are_bounded_by_characters(spark):
@@ -143,3 +144,15 @@ def test_low_quality_goes_and_good_stays(spark):
     got = Q.classify(spark.read.parquet(f"{at}/documents.parquet"), labels, carry=["doc_id", "lang"]).join(labels, "doc_id").collect()
     good, bad = [r.lm_kept for r in got if r.quality == 1], [r.lm_kept for r in got if r.quality == 0]
     assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.25 * len(bad)
+
+
+def test_the_head_does_not_matter(spark, monkeypatch):
+    trusted = spark.createDataFrame([(prose(i, 60),) for i in range(6)], "text string")
+    asked = docs(spark, [(i, prose(90 + i, 40), "en", "a", 0) for i in range(5)] + [(9, None, "en", "a", 0)])
+    found = []
+    for size in (1, 40, Q.HEAD):
+        monkeypatch.setattr(Q, "HEAD", size)
+        model = Q.train(trusted)
+        assert len(model.head[0]) <= size
+        found.append({r.doc_id: r.lm_perplexity for r in Q.score(asked, model).collect()})
+    assert found[0] == pytest.approx(found[1], rel=1e-12) and found[0] == pytest.approx(found[2], rel=1e-12)
