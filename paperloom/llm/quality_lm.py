@@ -293,7 +293,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE
     their names; an empty table gives no rows.
     """
     ids = stored(trusted_ids(labels), "lm-trusted")
-    good = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    good = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")  # trusted ids grow: never broadcast
     model = train(good.where(~held_out(F.coalesce("text", F.lit("")))))
     carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ADDED]
     told = unused(docs.columns, "lm_held")
