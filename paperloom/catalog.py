@@ -19,7 +19,8 @@ from paperloom.functions.geometry import gap, overlap_share, scaled_box
 from paperloom.operators import dedup, reports, rules, segment, store
 from paperloom.plans.ingest import from_markdown
 from paperloom.plans.layout import layout
-from paperloom.scratch import stored
+from paperloom.scratch import scratch_path, stored
+from paperloom.sources import exports
 from paperloom.streaming.new_papers import identified
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,8 +198,8 @@ def visual_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT doc_id, length(regexp_replace(text, '[\\s\\p{Z}\\x0B]+', '', 'g')) AS squashed, length(regexp_replace(regexp_replace(text, '^[\\s\\p{Z}\\x0B]+|[\\s\\p{Z}\\x0B]+\\z', '', 'g'), '[\\s\\p{Z}\\x0B]+', ' ', 'g')) AS collapsed,
-           (length(text) - length(replace(text, '$', ''))) % 2 = 1 AS unbalanced, len(regexp_extract_all(text, '\\$([^\\n]+?)\\$', 1)) AS formulas
-    FROM documents WHERE NOT contains(text, chr(92))
+           (length(bare) - length(replace(bare, '$', ''))) % 2 = 1 AS unbalanced, len(regexp_extract_all(text, '\\$([^\\n]+?)\\$', 1)) AS formulas
+    FROM (SELECT *, regexp_replace(text, '\\\\.', '', 'gs') AS bare FROM documents) WHERE text IS NOT NULL
 """)
 def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """white space, formulas and delimiters."""
@@ -221,10 +222,11 @@ def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH e AS (SELECT event_id, event_type || ': ' || coalesce(props, '') AS t FROM events)
-    SELECT event_id, CASE WHEN lower(t) LIKE '%deepseek%' THEN 'deepseek' WHEN lower(t) LIKE '%database%' OR lower(t) LIKE '%psycopg%' OR lower(t) LIKE '%postgres%' THEN 'database'
+    SELECT event_id, CASE WHEN lower(t) LIKE '%mineru%' AND regexp_matches(lower(t), 'connection|timeout|timed out|refused|reset|broken pipe|unreachable') THEN 'mineru_transient'
+           WHEN lower(t) LIKE '%mineru%' THEN 'mineru_non_transient' WHEN lower(t) LIKE '%deepseek%' THEN 'deepseek' WHEN lower(t) LIKE '%database%' OR lower(t) LIKE '%psycopg%' OR lower(t) LIKE '%postgres%' THEN 'database'
            WHEN lower(t) LIKE '%layout%' THEN 'layout' WHEN lower(t) LIKE '%crop%' THEN 'asset_crop' WHEN lower(t) LIKE '%store%' OR lower(t) LIKE '%storage%' THEN 'asset_store' ELSE 'unknown' END AS class,
            trim(split_part(t, ':', 1)) AS code
-    FROM e WHERE lower(t) NOT LIKE '%mineru%'
+    FROM e
 """)
 def failure_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes and codes of error texts."""
@@ -319,8 +321,8 @@ def reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ISSUES = """
     WITH q AS (
         SELECT doc_id, source, quality, toxic, n_chars < 1000 AS short, lang = 'en' AS answered,
-               (length(text) - length(replace(text, '$', ''))) % 2 = 1 AS odd
-        FROM documents JOIN labels USING (doc_id) WHERE NOT contains(text, chr(92))
+               (length(bare) - length(replace(bare, '$', ''))) % 2 = 1 AS odd
+        FROM (SELECT *, regexp_replace(text, '\\\\.', '', 'gs') AS bare FROM documents) JOIN labels USING (doc_id) WHERE text IS NOT NULL
     ), n AS (SELECT *, CAST(odd AS INTEGER) + CAST(NOT coalesce(answered, false) AS INTEGER) + CAST(NOT short AS INTEGER) AS issues FROM q)
 """
 
@@ -492,7 +494,7 @@ def nested_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sets and comparisons
 
 
-_OLD_NEW = "WITH o AS (SELECT DISTINCT source AS p, doc_id % 40 AS q FROM documents WHERE doc_id % 3 <> 0), n AS (SELECT DISTINCT source AS p, doc_id % 40 AS q FROM documents WHERE doc_id % 4 <> 0)"
+_OLD_NEW = "WITH o AS (SELECT DISTINCT source AS p, doc_id % 40 AS q FROM documents), n AS (SELECT DISTINCT source AS p, n_chars % 60 AS q FROM documents)"
 
 
 @query(_OLD_NEW + """
@@ -503,8 +505,8 @@ _OLD_NEW = "WITH o AS (SELECT DISTINCT source AS p, doc_id % 40 AS q FROM docume
 def compared_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers found by both of two methods, or by one, in natural order."""
     d = _t(spark, sf_dir, "documents")
-    side = lambda k: d.where(F.col("doc_id") % k != 0).select(F.col("source").alias("paper_id"), (F.col("doc_id") % 40).cast("string").alias("question_number"))
-    c = reports.compared(side(3), side(4))
+    side = lambda number: d.select(F.col("source").alias("paper_id"), number.cast("string").alias("question_number"))
+    c = reports.compared(side(F.col("doc_id") % 40), side(F.col("n_chars") % 60))
     return c.select("paper_id", "old_count", "new_count", "both", F.array_join("only_old", ",").alias("only_old"), F.array_join("only_new", ",").alias("only_new"))
 
 
@@ -531,10 +533,10 @@ def own_and_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _slices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     o = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"))
-    return o.where("id % 3 <> 0"), o.where("id % 2 = 0").withColumns({"status": F.lit("X"), "price": F.col("price") + 1, "priority": F.lit("new")})
+    return o, o.withColumns({"id": F.col("id") * 2, "status": F.lit("X"), "price": F.col("price") + 1, "priority": F.lit("new")})
 
 
-_SLICES = "WITH s AS (SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice AS price, o_orderpriority AS priority FROM orders WHERE o_orderkey % 3 <> 0), f AS (SELECT o_orderkey AS id, 'X' AS status, o_totalprice + 1 AS price, 'new' AS priority FROM orders WHERE o_orderkey % 2 = 0)"
+_SLICES = "WITH s AS (SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice AS price, o_orderpriority AS priority FROM orders), f AS (SELECT o_orderkey * 2 AS id, 'X' AS status, o_totalprice + 1 AS price, 'new' AS priority FROM orders)"
 
 
 @query(_SLICES + """
@@ -599,6 +601,166 @@ def group_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.group_summaries(dedup.candidate_groups(identities(spark, sf_dir))).select("id", "candidate_count", "papers")
 
 
+# Stored tables
+
+
+_TRIMMED = _ITEMS + """
+    , t AS (SELECT fingerprint, block_id, k, avg_score FROM (
+        SELECT g.*, k, row_number() OVER (PARTITION BY fingerprint ORDER BY avg_score DESC, g.block_id) AS r
+        FROM g JOIN (SELECT 'b' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS block_id, source || '#' || lang || '/' || CASE WHEN n_chars < 1000 THEN 'short' ELSE 'long' END || '#' || CAST(doc_id % 25 AS VARCHAR) AS k FROM documents) USING (block_id)) WHERE r <= 20),
+    d AS (SELECT 'dcg_' || substr(sha256(fingerprint), 1, 16) AS group_id, fingerprint, count(*) AS n FROM t GROUP BY fingerprint),
+    x AS (SELECT *, substr(group_id, 5, 1) < '8' AS same, substr(group_id, 5, 1) < '4' AS undone FROM d)
+"""
+
+
+def _stored_groups(spark: SparkSession, sf_dir: str) -> store.Store:
+    """A store with the candidate groups of documents, saved twice, and decisions on all of them."""
+    db = store.Store(spark, scratch_path(spark, "store"))
+    db.init()
+    groups = stored(dedup.candidate_groups(identities(spark, sf_dir)), "groups")
+    db.save_groups(groups)
+    db.save_groups(groups)
+    verdict = F.when(F.substring("id", 5, 1) < "8", "same").otherwise("different")
+    db.decide(groups.select(F.col("id").alias("group_id"), verdict.alias("decision"), F.lit("ann").alias("reviewer"), F.lit("").alias("reason")))
+    return db
+
+
+@query(_TRIMMED + "SELECT group_id AS id, CAST(n AS INTEGER) AS candidate_count, 'pending' AS status, n AS items, CASE WHEN same THEN 'same' ELSE 'different' END AS decision FROM x")
+def saved_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups, items and decisions as they are stored; saving again changes nothing."""
+    db = _stored_groups(spark, sf_dir)
+    n = db.read("duplicate_candidate_items").groupBy(F.col("group_id").alias("id")).agg(F.count("*").alias("items"))
+    decided = db.read("duplicate_review_decisions").select(F.col("group_id").alias("id"), "decision")
+    return db.read("duplicate_candidate_groups").join(n, "id").join(decided, "id").select("id", "candidate_count", "status", "items", "decision")
+
+
+@query(_TRIMMED + """
+    SELECT 'cqn_' || substr(sha256(group_id), 1, 16) AS id, substr(sha256(fingerprint), 1, 16) AS canonical_fingerprint, group_id AS created_from_group_id, 'active' AS status, 'resolved' AS group_status, n AS variants, CAST(1 AS BIGINT) AS events
+    FROM x WHERE same
+""")
+def canonicalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical questions of the groups that a reviewer called the same; a second run changes nothing."""
+    db = _stored_groups(spark, sf_dir)
+    db.canonicalize("ann")
+    db.canonicalize("ann")
+    return _canonical_state(db)
+
+
+def _canonical_state(db: store.Store) -> DataFrame:
+    n = db.read("question_variants").where("is_active").groupBy(F.col("canonical_question_id").alias("id")).agg(F.count("*").alias("variants"))
+    events = db.read("canonicalization_events").groupBy(F.col("canonical_question_id").alias("id")).agg(F.count("*").alias("events"))
+    group = db.read("duplicate_candidate_groups").select(F.col("id").alias("created_from_group_id"), F.col("status").alias("group_status"))
+    rows = db.read("canonical_questions").join(n, "id", "left").join(events, "id", "left").join(group, "created_from_group_id")
+    return rows.select("id", "canonical_fingerprint", "created_from_group_id", "status", "group_status", F.coalesce("variants", F.lit(0)).cast("long").alias("variants"), F.coalesce("events", F.lit(0)).cast("long").alias("events"))
+
+
+@query(_TRIMMED + """
+    SELECT 'cqn_' || substr(sha256(group_id), 1, 16) AS id, substr(sha256(fingerprint), 1, 16) AS canonical_fingerprint, group_id AS created_from_group_id, CASE WHEN undone THEN 'reverted' ELSE 'active' END AS status,
+           'resolved' AS group_status, CASE WHEN undone THEN 0 ELSE n END AS variants, CAST(CASE WHEN undone THEN 2 ELSE 1 END AS BIGINT) AS events
+    FROM x WHERE same
+""")
+def rolled_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some canonical questions reverted; ids that do not exist are ignored."""
+    db = _stored_groups(spark, sf_dir)
+    db.canonicalize("ann")
+    undone = db.read("canonical_questions").where(F.substring("created_from_group_id", 5, 1) < "4").select("id")
+    db.rollback(undone.unionByName(spark.createDataFrame([("cqn_none",)], "id string")), "ann")
+    return _canonical_state(db)
+
+
+@query("""
+    WITH c AS (SELECT doc_id, source, lang, substr(sha256(coalesce(lang, '') || '|' || CAST(n_chars AS VARCHAR)), 1, 16) AS h FROM documents)
+    SELECT 'ca_' || substr(sha256(h), 1, 16) AS id, substr(sha256(h), 1, 16) AS asset_fingerprint, h AS content_hash, min(lang) AS asset_type, 'a' || lpad(CAST(min(doc_id) AS VARCHAR), 12, '0') AS representative_raw_asset_id, 'active' AS status, count(*) AS variants
+    FROM c GROUP BY h HAVING count(DISTINCT source) >= 2 AND min(lang) = max(lang)
+""")
+def canonical_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical assets and their variants, generated twice and read from the store."""
+    db = store.Store(spark, scratch_path(spark, "store"))
+    db.init()
+    d = _t(spark, sf_dir, "documents")
+    content = text.short_hash(F.concat_ws("|", F.coalesce("lang", F.lit("")), F.col("n_chars").cast("string")))
+    db.upsert("raw_assets", d.select(F.format_string("a%012d", "doc_id").alias("id"), F.col("source").alias("paper_id"), F.col("lang").alias("asset_type"), content.alias("content_hash")))
+    db.generate_canonical_assets()
+    db.generate_canonical_assets()
+    n = db.read("asset_variants").where("is_active").groupBy(F.col("canonical_asset_id").alias("id")).agg(F.count("*").alias("variants"))
+    return db.read("canonical_assets").join(n, "id").select("id", "asset_fingerprint", "content_hash", "asset_type", "representative_raw_asset_id", "status", "variants")
+
+
+@query("""
+    WITH a AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS paper_id, CASE WHEN o_orderstatus = 'F' THEN 'image' WHEN o_orderstatus = 'O' THEN 'table' ELSE 'figure' END AS kind FROM orders),
+    l AS (SELECT a.paper_id, count(*) AS links, sum(CASE WHEN 1 - l_discount * 4 < 0.8 THEN 1 ELSE 0 END) AS weak_links, sum(CASE WHEN l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20) THEN 1 ELSE 0 END) AS broken_links
+          FROM lineitem JOIN a ON l_orderkey = o_orderkey GROUP BY 1)
+    SELECT a.paper_id, count(*) AS assets, coalesce(max(links), 0) AS links, CAST(coalesce(max(weak_links), 0) AS BIGINT) AS weak_links,
+           CAST(sum(CASE WHEN kind IN ('image', 'table') AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) THEN 1 ELSE 0 END) AS BIGINT) AS unlinked, CAST(coalesce(max(broken_links), 0) AS BIGINT) AS broken_links
+    FROM a LEFT JOIN l USING (paper_id) GROUP BY 1
+""")
+def asset_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, weak, missing and broken ones of each paper, by the report's own operator."""
+    kind = F.when(F.col("o_orderstatus") == "F", "image").when(F.col("o_orderstatus") == "O", "table").otherwise("figure")
+    assets = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("string").alias("paper_id"), kind.alias("asset_type"))
+    links = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("raw_asset_id"), F.col("l_suppkey").alias("question_id"), (1 - F.col("l_discount") * 4).alias("confidence"))
+    blocks = _t(spark, sf_dir, "supplier").where("s_nationkey < 20").select(F.col("s_suppkey").alias("id"))
+    m = reports.asset_metrics(assets, links, blocks)
+    return m.select("paper_id", "assets", *[_int(F.col(c)).alias(c) for c in ("links", "weak_links", "unlinked", "broken_links")])
+
+
+@query("""
+    SELECT CAST(conv_id AS VARCHAR) AS paper_id, CAST(turn + 1 AS VARCHAR) AS question_number, length(t) AS chars FROM (
+        SELECT conv_id, turn, regexp_replace(regexp_replace(text, '[\r\n]+', ' ', 'g'), '^[\s\p{Z}\x0B]+|[\s\p{Z}\x0B]+\z', '', 'g') AS t FROM conversations) WHERE length(t) > 0
+""")
+def answer_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What follows each number, by the segmentation's own operator."""
+    found = segment.answer_entries(_as_markdown(spark, sf_dir))
+    return found.select("paper_id", "question_number", _int(F.length("entry")).alias("chars"))
+
+
+@query("""
+    WITH r AS (SELECT user_id, list(event_type || CASE WHEN value < 1 THEN '' ELSE ': ' || CAST(event_id AS VARCHAR) END ORDER BY event_id) FILTER (WHERE value < 3) AS steps,
+                      list(CAST(event_id AS VARCHAR) ORDER BY event_id) FILTER (WHERE value >= 30) AS errors FROM events GROUP BY 1)
+    SELECT CAST(user_id AS VARCHAR) AS paper_id, CASE WHEN len(errors) > 0 THEN array_to_string(errors, '; ') WHEN len(steps) > 0 THEN array_to_string(steps, '; ') END AS summary FROM r
+""")
+def error_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The errors of a run, or else its failed steps, in one line."""
+    e = _t(spark, sf_dir, "events").withColumn("paper_id", F.col("user_id").cast("string"))
+    steps = e.select("paper_id", F.col("event_id").alias("ord"), F.col("event_type").alias("step"), F.when(F.col("value") < 3, "failed").otherwise("completed").alias("status"), F.when(F.col("value") >= 1, F.col("event_id").cast("string")).alias("error"))
+    errors = e.where("value >= 30").select("paper_id", F.col("event_id").alias("ord"), F.col("event_id").cast("string").alias("error"))
+    return reports.error_summaries(steps, errors)
+
+
+@query("""
+    WITH t AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN '{"stem_latex": 1}' WHEN turn % 3 = 1 THEN text ELSE NULL END AS content FROM conversations)
+    SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'missing required fields' WHEN turn % 3 = 1 THEN 'not a JSON object' ELSE 'unexpected shape' END AS problem,
+           CASE WHEN turn % 3 = 0 THEN 'analysis_latex, answer_latex, choices, confidence, difficulty, knowledge_points, question_type, warnings' END AS missing
+    FROM t
+""")
+def provider_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contents of chat responses, and what is wrong with them."""
+    content = F.when(F.col("turn") % 3 == 0, '{"stem_latex": 1}').when(F.col("turn") % 3 == 1, F.col("text"))
+    message = F.struct(F.struct(content.alias("content")).alias("message"))
+    raw = F.to_json(F.struct(F.array(message).alias("choices")))
+    parsed = rules.parsed_response(rules.chat_content(raw))
+    return turns(spark, sf_dir).withColumn("p", parsed).select("conv_id", "turn", F.col("p.problem").alias("problem"), F.array_join("p.missing", ", ").alias("missing"))
+
+
+@query("""
+    WITH m AS (SELECT source, row_number() OVER (ORDER BY source) AS n FROM (SELECT DISTINCT source FROM documents)),
+    s AS (SELECT source, max(doc_id) % 2 = 0 AS fine FROM documents GROUP BY 1)
+    SELECT 'exam_' || lpad(CAST(n AS VARCHAR), 4, '0') AS paper_id, source AS pdf_path, CASE WHEN fine THEN 'completed' ELSE 'failed' END AS status, 1 AS attempts, CASE WHEN NOT fine THEN 'broke' END AS last_error, NOT fine AS again
+    FROM m JOIN s USING (source)
+""")
+def manifest_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch's manifest saved, read, updated by paper, and what a resumed batch would run."""
+    d = _t(spark, sf_dir, "documents").groupBy("source").agg((F.max("doc_id") % 2 == 0).alias("fine"))
+    path = scratch_path(spark, "manifest")
+    exports.save_manifest(exports.manifest(d.select(F.col("source").alias("path")), "exam"), path)
+    entries = exports.load_manifest(spark, path)
+    done = entries.join(d, F.col("pdf_path") == F.col("source"))
+    changes = done.select("paper_id", F.when(F.col("fine"), "completed").otherwise("failed").alias("status"), (F.col("attempts") + 1).alias("attempts"), F.when(~F.col("fine"), "broke").alias("last_error"))
+    updated_entries = store.update(entries, changes, ("paper_id",))
+    again = exports.to_run(updated_entries).select("paper_id", F.lit(True).alias("again"))
+    return updated_entries.join(again, "paper_id", "left").select("paper_id", "pdf_path", "status", F.col("attempts").cast("int").alias("attempts"), "last_error", F.coalesce("again", F.lit(False)).alias("again"))
+
+
 # Reports
 
 

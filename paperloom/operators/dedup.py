@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.bits import hamming, halves
 from paperloom.functions.text import short_hash
+from paperloom.operators.graph import components
 from paperloom.scratch import stored
 
 #: Weights of equal texts, formulas and assets, and of shared sections.
@@ -28,9 +29,10 @@ def candidate_items(identities: DataFrame, kind: str = "text", min_candidates: i
     ``idx`` (place in the group) and ``n_items``.
 
     Papers are counted by a grouped aggregate and joined back, so that a group
-    of any size is never one task's. The join is an equality that skew handling splits.
+    of any size is never one task's. The join is an equality that skew handling
+    splits. Identities are written first: both sides read them, and hashing texts once is enough.
     """
-    rows = identities.withColumn("fingerprint", F.col(FINGERPRINTS[kind])).where(F.length("fingerprint") > 0)
+    rows = stored(identities, "identities").withColumn("fingerprint", F.col(FINGERPRINTS[kind])).where(F.length("fingerprint") > 0)
     shared = rows.groupBy("fingerprint", "paper_id").agg(F.count("*").alias("n")).groupBy("fingerprint").agg(F.count("*").alias("papers"), F.sum("n").alias("n_items"))
     return rows.join(shared.where(F.col("papers") >= min_candidates), "fingerprint")
 
@@ -146,10 +148,13 @@ def visual_groups(assets: DataFrame, max_distance: int = 8, min_candidates: int
     """``(group_id, asset_type, members, size, avg_distance, min_distance, max_distance)``: greedy clusters.
 
     Edges are taken by distance, then by ids; an edge joins a free asset to the
-    other's cluster or starts one, and is passed over if both have one. Only an
-    asset type's edges meet in one task, not its assets.
+    other's cluster or starts one, and is passed over if both have one. A cluster
+    can't leave a connected component of the edges, and the order within one
+    doesn't depend on others: a component's edges meet in one task, not a type's.
     """
-    edges = hamming_edges(assets, max_distance)
+    edges = stored(hamming_edges(assets, max_distance), "visual-edges")
+    label = components(edges.select("a", "b"))
+    edges = edges.join(label, F.col("a") == F.col("node"), "left").withColumn("component", F.coalesce("label", "a")).drop("node", "label")
 
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
         at: dict = {}
@@ -172,6 +177,6 @@ def visual_groups(assets: DataFrame, max_distance: int = 8, min_candidates: int
         rows = [(frame["asset_type"].iloc[0], sorted(x for x, _ in m), len({p for _, p in m}), sum(d) / len(d), min(d), max(d)) for m, d in zip(members, far, strict=True)]
         return pd.DataFrame(rows, columns=["asset_type", "members", "papers", "avg_distance", "min_distance", "max_distance"])
 
-    found = edges.groupBy("asset_type").applyInPandas(cluster, "asset_type string, members array<string>, papers int, avg_distance double, min_distance int, max_distance int")
+    found = edges.groupBy("asset_type", "component").applyInPandas(cluster, "asset_type string, members array<string>, papers int, avg_distance double, min_distance int, max_distance int")
     name = F.concat(F.lit("vag_"), short_hash(F.array_join("members", "|")))
     return found.where(F.col("papers") >= min_candidates).select(name.alias("group_id"), "asset_type", "members", F.size("members").alias("size"), "avg_distance", "min_distance", "max_distance")

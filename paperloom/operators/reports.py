@@ -151,3 +151,14 @@ def markdown_table(rows: DataFrame, title: str, order: list[Column]) -> DataFram
     lines = F.transform(F.array_sort(F.collect_list("r")), lambda r: r["line"])
     head = [f"# {title}", "", "| " + " | ".join(rows.columns) + " |", "|" + " --- |" * len(rows.columns)]
     return keyed.agg(F.array_join(F.concat(F.array(*[F.lit(h) for h in head]), lines), "\n").alias("value"))
+
+
+def error_summaries(steps: DataFrame, errors: DataFrame) -> DataFrame:
+    """``(paper_id, summary)`` of each paper of ``steps(paper_id, ord, step, status, error)``: the non-blank
+    ``errors(paper_id, ord, error)`` of its run, or else its failed steps with theirs; null if there are neither."""
+    line = lambda when, text: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(when, F.struct("ord", text.alias("t"))))), lambda x: x["t"]), "; ")
+    told = F.when(F.length("error") > 0, F.concat_ws(": ", "step", "error")).otherwise(F.col("step"))
+    failed = steps.groupBy("paper_id").agg(line(F.col("status") == "failed", told).alias("failed"))
+    own = errors.groupBy("paper_id").agg(line(F.length(F.trim("error")) > 0, F.col("error")).alias("own"))
+    blank = lambda c: F.nullif(F.col(c), F.lit(""))
+    return failed.join(own, "paper_id", "left").select("paper_id", F.coalesce(blank("own"), blank("failed")).alias("summary"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import cues
 from paperloom.functions.text import is_blank, strip, text_or_empty, unbalanced_dollars
 
+# The types of questions, placeholders and marks, and below the codes and messages of findings.
 QUESTION_TYPES = ("single_choice", "multiple_choice", "fill_blank", "short_answer", "proof", "unknown")
 PLACEHOLDER = "暂无解析，待人工补充"
 NO_ANSWER = "暂无答案，待人工补充"
@@ -146,6 +147,22 @@ def missing_fields(raw_json: Column, required: tuple[str, ...]) -> Column:
     return F.when(keys.isNotNull(), F.array_sort(F.array_except(F.array(*[F.lit(r) for r in required]), keys)))
 
 
+# The fields that a provider's answer has to have.
+REQUIRED_FIELDS = ("question_type", "stem_latex", "choices", "answer_latex", "analysis_latex", "knowledge_points", "difficulty", "confidence", "warnings")
+
+
+def chat_content(response: Column) -> Column:
+    """The first choice's message in a chat response; null for any other shape."""
+    return F.get_json_object(response, "$.choices[0].message.content")
+
+
+def parsed_response(content: Column) -> Column:
+    """struct(problem, missing): what keeps a response's content from being an answer, and the fields it lacks."""
+    lacks = missing_fields(content, REQUIRED_FIELDS)
+    problem = F.when(content.isNull(), "unexpected shape").when(lacks.isNull(), "not a JSON object").when(F.size(lacks) > 0, "missing required fields")
+    return F.struct(problem.alias("problem"), F.when(F.size(lacks) > 0, lacks).alias("missing"))
+
+
 # Parts of parser errors that never pass with time, and of those that may.
 PERMANENT = ("no such file or directory", "pdf file not found", "filenotfounderror", "model", "invalid argument", "unknown option", "cannot open", "permission denied")
 TRANSIENT = (

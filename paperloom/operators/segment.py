@@ -78,6 +78,7 @@ def answer_entries(docs: DataFrame, key: str = "paper_id", text: str = "markdown
 def answer_parts(entry: Column) -> Column:
     """struct(answer, analysis) of an entry, by its labels; text without a label is the answer."""
     text = strip(entry)
+    # The labels of answers and analyses, and the group that holds each.
     forms = (
         (r"(?Us)^(?:答案|答)[:：]\s*(.*?)\s*(?:解析|详解|解法)[:：]\s*(.*)$", 1, 2),
         (r"(?Us)^(?:解析|详解|解法|解)[:：]\s*(.*?)\s*(?:答案|答)[:：]\s*(.*)$", 2, 1),

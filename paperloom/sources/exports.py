@@ -58,10 +58,28 @@ def recent_reports(spark: SparkSession, path: str, limit: int = 20) -> DataFrame
     return found.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"), first_heading(F.col("value")).alias("title")).orderBy(F.desc("modified"), "path").limit(limit)
 
 
+MANIFEST = "paper_id string, pdf_path string, status string, started_at string, finished_at string, attempts int, last_error string, run_report_path string"
+
+
 def manifest(paths: DataFrame, prefix: str) -> DataFrame:
-    """A pending entry for each file, numbered from one in order of paths."""
+    """A pending entry for each file, numbered from one in order of paths. Files of a batch, not rows, meet in one task."""
     n = F.row_number().over(Window.orderBy("path"))
-    return paths.select(F.format_string(f"{prefix}_%04d", n).alias("paper_id"), F.col("path").alias("pdf_path"), F.lit("pending").alias("status"), F.lit(0).alias("attempts"), F.lit(None).cast("string").alias("last_error"))
+    none = F.lit(None).cast("string")
+    return paths.select(
+        F.format_string(f"{prefix}_%04d", n).alias("paper_id"), F.col("path").alias("pdf_path"), F.lit("pending").alias("status"), none.alias("started_at"), none.alias("finished_at"),
+        F.lit(0).alias("attempts"), none.alias("last_error"), none.alias("run_report_path"),
+    )
+
+
+def save_manifest(entries: DataFrame, path: str) -> None:
+    """A batch's entries as JSON lines."""
+    entries.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def load_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The entries of a saved manifest; lines that are no entries are left out."""
+    read = spark.read.schema(MANIFEST).option("mode", "PERMISSIVE").json(path)
+    return read.where("paper_id is not null")
 
 
 def to_run(entries: DataFrame) -> DataFrame:

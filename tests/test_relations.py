@@ -134,6 +134,78 @@ def test_workflow(spark, tmp_path):
     assert db.duplicate_groups("pending").count() == 2
 
 
+def test_a_failed_commit_leaves_everything_in_place(spark, tmp_path, monkeypatch):
+    db = store.Store(spark, str(tmp_path / "db"))
+    db.init()
+    paper = lambda i: spark.createDataFrame([(i, f"title {i}")], "id string, title string")
+    db.upsert("papers", paper("a"))
+    # The rename of the commit fails: neither this process nor a new one sees the change.
+    with monkeypatch.context() as m:
+        commits = store.Store._commits
+        taken = f"{db.path}/_commits/{int(commits(db)[-1]) + 1:020d}"
+        import os
+
+        os.makedirs(taken)
+        m.setattr(store.Store, "_commits", lambda self: [c for c in commits(self) if not taken.endswith(c)])
+        with pytest.raises(RuntimeError):
+            db.upsert("papers", paper("b"))
+        assert [r.id for r in db.read("papers").collect()] == ["a"]
+        os.rmdir(taken)
+    assert [r.id for r in store.Store(spark, str(tmp_path / "db")).read("papers").collect()] == ["a"] and db.init() == []
+    # A step that breaks in its middle changes no table.
+    with pytest.raises(ZeroDivisionError), db.step():
+        db.upsert("papers", paper("c"))
+        assert db.read("papers").count() == 2
+        raise ZeroDivisionError
+    assert db.read("papers").count() == 1
+    n = len(db._commits())
+    with db.step():
+        db.upsert("papers", paper("d"))
+        db.upsert("papers", paper("e"))
+    assert db.read("papers").count() == 3 and len(db._commits()) == n + 1
+
+
+def test_versions_without_a_commit_are_not_a_missing_table(spark, tmp_path):
+    import shutil
+
+    db = store.Store(spark, str(tmp_path / "db"))
+    db.init()
+    db.upsert("papers", spark.createDataFrame([("a",)], "id string"))
+    shutil.rmtree(tmp_path / "db" / "_commits")
+    with pytest.raises(ValueError):
+        db.init()
+
+
+def test_ingestion_is_saved_in_one_step(spark, tmp_path):
+    from paperloom.plans.ingest import from_markdown
+
+    text = "一、选择题\n1. 计算 $x$ 的值\nA. 1\nB. 2\nC. 3\nD. 4\n2. 求证\n参考答案\n1. 答案：A\n2. 略"
+    rows = from_markdown(spark.createDataFrame([("p", text)], "paper_id string, markdown string"))
+    db = store.Store(spark, str(tmp_path / "db"))
+    db.init()
+    n = len(db._commits())
+    for _ in range(2):
+        db.save_result(spark.createDataFrame([("p", "Paper")], "id string, title string"), rows)
+    assert len(db._commits()) == n + 2
+    questions = {r.id: r for r in db.read("questions").collect()}
+    assert len(questions) == 2 and {r.question_block_id for r in questions.values()} == {r.id for r in db.read("question_blocks").collect()}
+    assert sorted(r.label for r in db.read("choices").collect()) == list("ABCD")
+    assert db.read("quality_reports").count() == 2 and db.review_queue().count() == sum(r.needs_review for r in db.read("quality_reports").collect())
+
+
+def test_canonical_assets_and_lookups(spark, tmp_path):
+    db = store.Store(spark, str(tmp_path / "db"))
+    db.init()
+    rows = [("a", "p", "image", "h"), ("b", "q", "image", "h"), ("c", "p", "image", "i"), ("d", "q", "table", "i"), ("e", "r", "image", "h")]
+    db.upsert("raw_assets", spark.createDataFrame(rows, "id string, paper_id string, asset_type string, content_hash string"))
+    (canon,) = db.generate_canonical_assets().collect()
+    assert canon.id == f"ca_{short('h')}" and canon.asset_fingerprint == short("h") and canon.representative_raw_asset_id == "a"
+    assert [r.id for r in db.assets_with_content("h").collect()] == ["a", "b", "e"]
+    assert [v.raw_asset_id for v in db.canonical_asset(canon.id).first().variants] == ["a", "b", "e"]
+    assert db.canonical_assets().count() == 1 and db.asset_candidates()["variants"].count() == 3
+    assert db.canonical_of_group("none").count() == 0
+
+
 def test_upsert_changes_listed_columns(spark):
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, u string, v string")
     new = spark.createDataFrame([(2, "B", None), (3, "C", "z")], "k int, u string, v string")
