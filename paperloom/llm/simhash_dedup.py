@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.graph import components, meet
+from paperloom.operators.graph import components, meet
 from paperloom.llm.shared import unused, with_place
 from paperloom.scratch import stored
 

@@ -4,7 +4,8 @@ import re
 import pytest
 import xxhash
 
-from paperloom.llm import graph, simhash_dedup as S
+from paperloom.llm import simhash_dedup as S
+from paperloom.operators import graph
 from tests.llm.cases import docs, no_docs, odd_docs, prose
 
 
