@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.shared import unused, with_place
+from paperloom.llm.shared import slices, unused, with_place
 from paperloom.scratch import stored
 
 ORDER = 4
@@ -40,8 +40,8 @@ ADDED = ("lm_symbols", "lm_perplexity", "lm_threshold", "lm_kept")
 BLOCK_ROWS, BLOCK_CHARS = 2048, 65_536
 #: Characters whose n-grams are in memory at once.
 RUN_CHARS = 1_000_000
-#: Distinct n-grams of blocks that a task holds before it hands them on.
-HELD_KEYS = 4_000_000
+#: Distinct n-grams that a task holds before it hands them on.
+HELD_KEYS = 1_000_000
 #: The most frequent n-grams, whose answers go to all workers instead of being joined for every block.
 HEAD = 1 << 17
 
@@ -96,13 +96,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct n-grams with counts, merged while they fit."""
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     out = lambda: pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "c"])
-    for batch in batches:
+    for batch in slices(batches, 1024):
         for run, _ in _runs(batch.column("text").to_pylist()):
             k, c = np.unique(run, return_counts=True)
             merged, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
             counts = np.bincount(at, np.concatenate([counts, c])).astype(np.int64)
             keys = merged
-            if len(keys) > 2_000_000:
+            if len(keys) > HELD_KEYS:
                 yield out()
                 keys, counts = keys[:0], counts[:0]
     if len(keys):
@@ -156,7 +156,7 @@ def log_probabilities(keys: DataFrame, model: Model) -> DataFrame:
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of each block in a batch as compressed Arrow data."""
     options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
-    for batch in batches:
+    for batch in slices(batches, BLOCK_ROWS):
         for block, piece in _by_block(batch):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, piece.schema, options=options) as writer:
@@ -186,7 +186,7 @@ def _wanted(batches: Iterator[pa.RecordBatch], head: np.ndarray) -> Iterator[pa.
         held.clear()
         return pa.RecordBatch.from_arrays(found, ["block", "key"])
 
-    for batch in batches:
+    for batch in slices(batches, 1024):
         for block, rows in _by_block(batch):
             for run, _ in _runs(rows.column(0).to_pylist()):
                 run = np.unique(run)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.operators.graph import components, meet
-from paperloom.llm.shared import unused, with_place
+from paperloom.llm.shared import slices, unused, with_place
 from paperloom.scratch import stored
 
 SHINGLE_WORDS = 3
@@ -45,7 +45,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, seed: int
     """``(doc_id, fp)`` of every row, ``fp`` being the fingerprint as a signed long, and its long columns ``more``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 512):
             found = np.array([simhash(x, shingle_words, seed) for x in batch.column("text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64)), *(batch.column(c) for c in more)], ["doc_id", "fp", *more])
 
