@@ -126,4 +126,5 @@ def one_of_each(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("sd_file").alias("file"), F.col("sd_row").alias("row"))
     known = meet(found, classes.select("fp", "n", "component"), "fp", "n", total)
     stay = known.groupBy("component").agg(F.min(order).alias("least")).select(F.col("least.file").alias(file), F.col("least.row").alias(row))
-    return placed.join(stored(stay, "simhash-stay"), [file, row], "left_semi").select(*docs.columns)
+    # The rows that stay grow with the input: they are never broadcast.
+    return placed.join(stored(stay, "simhash-stay").hint("merge"), [file, row], "left_semi").select(*docs.columns)
