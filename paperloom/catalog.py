@@ -706,7 +706,7 @@ def asset_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT CAST(conv_id AS VARCHAR) AS paper_id, CAST(turn + 1 AS VARCHAR) AS question_number, length(t) AS chars FROM (
-        SELECT conv_id, turn, regexp_replace(regexp_replace(text, '[\r\n]+', ' ', 'g'), '^[\s\p{Z}\x0B]+|[\s\p{Z}\x0B]+\z', '', 'g') AS t FROM conversations) WHERE length(t) > 0
+        SELECT conv_id, turn, regexp_replace(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), '^[\\s\\p{Z}\\x0B]+|[\\s\\p{Z}\\x0B]+\\z', '', 'g') AS t FROM conversations) WHERE length(t) > 0
 """)
 def answer_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What follows each number, by the segmentation's own operator."""

@@ -86,6 +86,43 @@ def test_visual_groups_are_greedy(spark):
     assert [(r.members, r.min_distance, r.max_distance) for r in made] == [(["a", "b", "c", "d", "f"], 1, 2)]
 
 
+def test_visual_groups_are_those_of_one_greedy_pass(spark):
+    """Against a single pass over all edges of a type, over random hashes with many ties."""
+    import random
+
+    rng = random.Random(8)
+    rows = []
+    for seed in range(25):
+        base = rng.getrandbits(64)
+        for i in range(rng.randint(1, 9)):
+            value = base
+            for _ in range(rng.randint(0, 5)):
+                value ^= 1 << rng.randrange(64)
+            rows.append((f"a{len(rows):03d}", f"p{rng.randrange(5)}", rng.choice(("image", "table")), format(value, "016x")))
+    far = lambda x, y: bin(int(x, 16) ^ int(y, 16)).count("1")
+    want = []
+    for kind in ("image", "table"):
+        of = sorted(r for r in rows if r[2] == kind)
+        edges = sorted((far(x[3], y[3]), x, y) for i, x in enumerate(of) for y in of[i + 1 :] if x[1] != y[1] and far(x[3], y[3]) <= 8)
+        at, groups = {}, []
+        for d, x, y in edges:
+            if x in at and y in at:
+                continue
+            g = at.get(x, at.get(y))
+            if g is None:
+                g = ({}, [])
+                groups.append(g)
+            for z in (x, y):
+                if z not in at:
+                    at[z] = g
+                    g[0][z] = True
+            g[1].append(d)
+        want += [(kind, tuple(sorted(z[0] for z in m)), min(d), max(d), round(sum(d) / len(d), 9)) for m, d in groups if len({z[1] for z in m}) >= 2]
+    made = dedup.visual_groups(spark.createDataFrame(rows, "id string, paper_id string, asset_type string, perceptual_hash string"))
+    got = [(r.asset_type, tuple(r.members), r.min_distance, r.max_distance, round(r.avg_distance, 9)) for r in made.collect()]
+    assert sorted(got) == sorted(want) and len(want) > 10
+
+
 def test_hash_distance(spark):
     rows = spark.createDataFrame([("ffffffffffffffff", "0000000000000000"), ("8000000000000001", "0000000000000001")], "a string, b string")
     assert [r[0] for r in rows.select(bits.hamming(F.col("a"), F.col("b"))).collect()] == [64, 1]
