@@ -167,8 +167,8 @@ def hashed_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as assets whose hash has a bit for each component's sign."""
     e = _t(spark, sf_dir, "embeddings")
     bits = F.array_join(F.transform("embedding", lambda x: F.when(x > 0, "1").otherwise("0")), "")
-    nibbles = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.lower(F.conv(F.substr(bits, 4 * i + 1, F.lit(4)), 2, 16))), "")
-    return e.where(F.size("embedding") == 64).select(F.col("vec_id").alias("id"), (F.col("vec_id") % 20).cast("string").alias("paper_id"), F.col("label").alias("asset_type"), nibbles.alias("perceptual_hash"))
+    digits = F.lpad(F.lower(F.conv(bits, 2, 16)), 16, "0")
+    return e.where(F.size("embedding") == 64).select(F.col("vec_id").alias("id"), (F.col("vec_id") % 20).cast("string").alias("paper_id"), F.col("label").alias("asset_type"), digits.alias("perceptual_hash"))
 
 
 @query("""

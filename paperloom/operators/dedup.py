@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.functions.bits import hamming, halves
+from paperloom.functions.bits import halves
 from paperloom.functions.text import short_hash
 from paperloom.operators.graph import components
 from paperloom.scratch import stored
@@ -15,6 +15,8 @@ from paperloom.scratch import stored
 WEIGHTS = {"text_fingerprint": 0.25, "latex_fingerprint": 0.35, "asset_signature": 0.25}
 SECTION_WEIGHT = 0.15
 FINGERPRINTS = {"text": "text_fingerprint", "latex": "latex_fingerprint", "asset": "asset_signature"}
+#: Rows of a block, about; a tile compares two blocks.
+TILE = 4096
 
 
 def section_jaccard(a: Column, b: Column) -> Column:
@@ -119,29 +121,52 @@ def asset_groups(assets: DataFrame, min_candidates: int = 2) -> DataFrame:
     return found.where((F.col("papers") >= min_candidates) & (F.col("asset_type") == F.col("_t"))).drop("_t")
 
 
+def _hashed(assets: DataFrame, digits: int) -> DataFrame:
+    """``(id, paper_id, asset_type, w, digits)`` of assets that may be linked; ``w`` is the hash in longs of 64 bits."""
+    parts = halves(F.col("perceptual_hash"), -(-digits // 8))
+    words = [F.shiftleft(h, 32).bitwiseOR(parts[i + 1]) if i + 1 < len(parts) else h for i, h in enumerate(parts) if i % 2 == 0]
+    rows = assets.where((F.length("perceptual_hash") > 0) & (F.length("paper_id") > 0) & F.col("asset_type").isNotNull())
+    return rows.select("id", "paper_id", "asset_type", F.array(*words).alias("w"), F.length("perceptual_hash").alias("digits")).where(~F.exists("w", lambda x: x.isNull()))
+
+
+def _near(rows: DataFrame, key: str, keep: list[str], max_distance: int, digits: int, differ: tuple[str, ...] = ()) -> DataFrame:
+    """``(asset_type, a, b, distance)``: every pair of rows of one type within the distance once, ``a`` and ``b`` being
+    structs of ``keep`` whose fields in ``differ`` differ; ``key`` tells rows apart.
+
+    A type's rows are dealt to blocks of about TILE; two blocks meet in a tile,
+    one of many keys of an equality join, in which a pair costs a bit count.
+    """
+    size = F.ceil(F.count("*") / TILE)
+    same = F.min("digits") == F.max("digits")
+    blocks = rows.groupBy("asset_type").agg(F.when(same, size).otherwise(F.raise_error(F.lit("hashes differ in length")).cast("long")).alias("blocks"))
+    dealt = rows.hint("merge").join(blocks, "asset_type").withColumn("at", F.pmod(F.xxhash64(key), F.col("blocks")))
+    n = -(-digits // 16)
+    side = lambda x: [F.struct(*keep).alias(x), *[F.get("w", i).alias(f"{x}{i}") for i in range(n)]]
+    a = dealt.select("asset_type", F.col("at").alias("lo"), F.explode(F.sequence("at", F.col("blocks") - 1)).alias("hi"), *side("a"))
+    b = dealt.select("asset_type", F.explode(F.sequence(F.lit(0).cast("long"), "at")).alias("lo"), F.col("at").alias("hi"), *side("b"))
+    a, b = a.alias("l"), b.alias("r")
+    far = F.lit(0)
+    for i in range(n):
+        far = far + F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}")))
+    meet = (F.col("l.asset_type") == F.col("r.asset_type")) & (F.col("l.lo") == F.col("r.lo")) & (F.col("l.hi") == F.col("r.hi")) & (far <= max_distance)
+    meet &= (F.col("l.lo") < F.col("l.hi")) | (F.col(f"a.{key}") < F.col(f"b.{key}"))
+    for c in differ:
+        meet &= F.col(f"a.{c}") != F.col(f"b.{c}")
+    return a.hint("merge").join(b, meet).select(F.col("l.asset_type").alias("asset_type"), "a", "b", far.alias("distance"))
+
+
 def hamming_edges(assets: DataFrame, max_distance: int = 8, digits: int = 16) -> DataFrame:
     """``(asset_type, a, b, paper_a, paper_b, distance)``: assets of one type in different papers whose hashes
     differ in at most ``max_distance`` bits.
 
-    Hashes are cut into one band more than the distance, so that a pair within
-    it agrees in some band; pairs meet on equal bands. Distances too large for
-    bands of two bits or more meet on the type alone.
+    All hashes of a type are compared, at every distance alike: where the
+    distance is a third of the bits, a fixed share of all pairs is linked.
+    Hashes are written first, as both sides read them.
     """
-    bits = 4 * digits
-    bands = max_distance + 1 if bits // (max_distance + 1) >= 4 else 1
-    rows = assets.where((F.length("perceptual_hash") > 0) & (F.length("paper_id") > 0)).select("id", "paper_id", "asset_type", "perceptual_hash")
-    if bands > 1:
-        binary = F.concat(*[F.lpad(F.bin(h), 32, "0") for h in halves(F.col("perceptual_hash"), -(-digits // 8))])
-        edge = [bits * i // bands for i in range(bands + 1)]
-        cut = F.array(*[F.struct(F.lit(i).alias("i"), F.substring("b", edge[i] + 1, edge[i + 1] - edge[i]).alias("v")) for i in range(bands)])
-        rows = rows.withColumn("b", binary).withColumn("band", F.explode(cut)).drop("b")
-    else:
-        rows = rows.withColumn("band", F.lit(0))
-    a, b = rows.alias("a"), rows.alias("b")
-    met = a.join(b, (F.col("a.asset_type") == F.col("b.asset_type")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.paper_id") != F.col("b.paper_id")))
-    far = hamming(F.col("a.perceptual_hash"), F.col("b.perceptual_hash"), digits)
-    found = met.select(F.col("a.asset_type").alias("asset_type"), F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.paper_id").alias("paper_a"), F.col("b.paper_id").alias("paper_b"), far.alias("distance"))
-    return found.where(F.col("distance") <= max_distance).distinct()
+    met = _near(stored(_hashed(assets, digits), "hashed-assets"), "id", ["id", "paper_id"], max_distance, digits, ("paper_id",))
+    first = F.col("a.id") < F.col("b.id")
+    pick = lambda x, y, c: F.when(first, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}"))
+    return met.select("asset_type", pick("a", "b", "id").alias("a"), pick("b", "a", "id").alias("b"), pick("a", "b", "paper_id").alias("paper_a"), pick("b", "a", "paper_id").alias("paper_b"), "distance")
 
 
 def visual_groups(assets: DataFrame, max_distance: int = 8, min_candidates: int = 2) -> DataFrame:
