@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +16,8 @@ SECTION_WEIGHT = 0.15
 FINGERPRINTS = {"text": "text_fingerprint", "latex": "latex_fingerprint", "asset": "asset_signature"}
 #: Rows of a block, about; a tile compares two blocks.
 TILE = 4096
+#: Bits of a row's number below its distance in one long.
+ID_BITS = 50
 
 
 def section_jaccard(a: Column, b: Column) -> Column:
@@ -169,39 +170,52 @@ def hamming_edges(assets: DataFrame, max_distance: int = 8, digits: int = 16) ->
     return met.select("asset_type", pick("a", "b", "id").alias("a"), pick("b", "a", "id").alias("b"), pick("a", "b", "paper_id").alias("paper_a"), pick("b", "a", "paper_id").alias("paper_b"), "distance")
 
 
-def visual_groups(assets: DataFrame, max_distance: int = 8, min_candidates: int = 2) -> DataFrame:
+def _two_best(rows: DataFrame, group: list[str], key: str, paper: str) -> DataFrame:
+    """``(group, k1, p1, k2, p2)``: the least ``key`` of each group and the least one of another paper."""
+    firsts = rows.groupBy(*group, paper).agg(F.min(key).alias(key))
+    firsts = firsts.withColumn("r", F.row_number().over(Window.partitionBy(*group).orderBy(key))).where("r <= 2")
+    of = lambda c, r: F.min(F.when(F.col("r") == r, F.col(c)))
+    return firsts.groupBy(*group).agg(of(key, 1).alias("k1"), of(paper, 1).alias("p1"), of(key, 2).alias("k2"), of(paper, 2).alias("p2"))
+
+
+def _first_edges(rows: DataFrame, max_distance: int, digits: int) -> DataFrame:
+    """``(a, b, distance)``: the edge of each row ``(n, p, asset_type, w)`` that comes first by distance, then by ids.
+
+    Of neighbours at one distance that with the least number gives the first edge. Rows of one hash have the same
+    neighbours but for their own paper's: two candidates of different papers serve them all.
+    """
+    classes = _two_best(rows, ["asset_type", "w", "digits"], "n", "p").withColumn("c", F.col("k1"))
+    classes = stored(classes, "visual-classes")
+    met = _near(classes, "c", ["c", "k1", "p1", "k2", "p2"], max_distance, digits)
+    item = lambda c, d, x, i: F.struct(F.col(c).alias("c"), F.shiftleft(d.cast("long"), ID_BITS).bitwiseOR(F.col(f"{x}k{i}")).alias("key"), F.col(f"{x}p{i}").alias("p"))
+    d, none = F.col("distance"), F.lit(0)
+    found = met.select(F.inline(F.array(*[item(c, d, x, i) for c, x in (("a.c", "b."), ("b.c", "a.")) for i in (1, 2)])))
+    found = found.unionByName(classes.select(F.inline(F.array(*[item("c", none, "", i) for i in (1, 2)])))).where("key is not null")
+    best = _two_best(found, ["c"], "key", "p")
+    mine = rows.select("n", "p", "asset_type", "w").hint("merge").join(classes.select("asset_type", "w", "c"), ["asset_type", "w"]).hint("merge").join(best, "c")
+    key = F.when(F.col("p") != F.col("p1"), F.col("k1")).otherwise(F.col("k2"))
+    other = key.bitwiseAND((1 << ID_BITS) - 1)
+    edges = mine.select("n", other.alias("o"), F.shiftright(key, ID_BITS).cast("int").alias("distance")).where("o is not null")
+    return edges.select(F.least("n", "o").alias("a"), F.greatest("n", "o").alias("b"), "distance").distinct()
+
+
+def visual_groups(assets: DataFrame, max_distance: int = 8, min_candidates: int = 2, digits: int = 16) -> DataFrame:
     """``(group_id, asset_type, members, size, avg_distance, min_distance, max_distance)``: greedy clusters.
 
     Edges are taken by distance, then by ids; an edge joins a free asset to the
-    other's cluster or starts one, and is passed over if both have one. A cluster
-    can't leave a connected component of the edges, and the order within one
-    doesn't depend on others: a component's edges meet in one task, not a type's.
+    other's cluster or starts one, and is passed over if both have one. An asset
+    is free until its first edge, which is therefore taken, and an edge that is
+    neither end's first is passed over: clusters are the components of the
+    assets' first edges, and no edge waits for another. Ids tell a type's assets apart.
     """
-    edges = stored(hamming_edges(assets, max_distance), "visual-edges")
-    label = components(edges.select("a", "b"))
-    edges = edges.join(label, F.col("a") == F.col("node"), "left").withColumn("component", F.coalesce("label", "a")).drop("node", "label")
-
-    def cluster(frame: pd.DataFrame) -> pd.DataFrame:
-        at: dict = {}
-        members: list[list] = []
-        far: list[list[int]] = []
-        for e in frame.sort_values(["distance", "a", "b"]).itertuples():
-            ga, gb = at.get(e.a), at.get(e.b)
-            if ga is not None and gb is not None:
-                continue
-            g = ga if ga is not None else gb
-            if g is None:
-                g = len(members)
-                members.append([])
-                far.append([])
-            for x, paper in ((e.a, e.paper_a), (e.b, e.paper_b)):
-                if x not in at:
-                    at[x] = g
-                    members[g].append((x, paper))
-            far[g].append(int(e.distance))
-        rows = [(frame["asset_type"].iloc[0], sorted(x for x, _ in m), len({p for _, p in m}), sum(d) / len(d), min(d), max(d)) for m, d in zip(members, far, strict=True)]
-        return pd.DataFrame(rows, columns=["asset_type", "members", "papers", "avg_distance", "min_distance", "max_distance"])
-
-    found = edges.groupBy("asset_type", "component").applyInPandas(cluster, "asset_type string, members array<string>, papers int, avg_distance double, min_distance int, max_distance int")
+    rows = _hashed(assets, digits).orderBy("id", "asset_type").withColumn("n", F.monotonically_increasing_id())
+    rows = stored(rows, "visual-rows")
+    papers = rows.groupBy("paper_id").agg(F.min("n").alias("p"))
+    edges = stored(_first_edges(rows.hint("merge").join(papers, "paper_id"), max_distance, digits), "visual-edges")
+    label = stored(components(edges.select("a", "b")), "visual-labels")
+    label = label.unionByName(label.select(F.col("label").alias("node"), "label").distinct())
+    far = edges.join(label, F.col("a") == F.col("node")).groupBy("label").agg(F.avg("distance").alias("avg_distance"), F.min("distance").alias("min_distance"), F.max("distance").alias("max_distance"))
+    found = rows.join(label, F.col("n") == F.col("node")).groupBy("label").agg(F.min("asset_type").alias("asset_type"), F.array_sort(F.collect_list("id")).alias("members"), F.count_distinct("paper_id").alias("papers"))
     name = F.concat(F.lit("vag_"), short_hash(F.array_join("members", "|")))
-    return found.where(F.col("papers") >= min_candidates).select(name.alias("group_id"), "asset_type", "members", F.size("members").alias("size"), "avg_distance", "min_distance", "max_distance")
+    found = found.where(F.col("papers") >= min_candidates).join(far, "label")
+    return found.select(name.alias("group_id"), "asset_type", "members", F.size("members").alias("size"), "avg_distance", "min_distance", "max_distance")
